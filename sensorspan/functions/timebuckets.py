@@ -10,8 +10,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NTZ = "timestamp_ntz"
+EPOCH = "1970-01-01 00:00:00"
 
 
 def moment(value: datetime | str) -> Column:
@@ -49,9 +51,25 @@ def year_of(ts: Column | str) -> Column:
     return F.year(ts)
 
 
+def micros_between(later: Column, earlier: Column) -> Column:
+    """Microseconds between two timestamps, exactly."""
+    seconds = (later - earlier).cast(T.DayTimeIntervalType(T.DayTimeIntervalType.SECOND))
+    return (seconds.cast("decimal(24,6)") * 1_000_000).cast("bigint")
+
+
 def epoch_days(later: Column, earlier: Column) -> Column:
     """Time between two timestamps in days, with fractions."""
-    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(1e6) / F.lit(86400)
+    return micros_between(later, earlier) / F.lit(1e6) / F.lit(86400)
+
+
+def to_instant(ts: Column) -> Column:
+    """A zone-less timestamp as the instant it names in UTC."""
+    return F.timestamp_micros(micros_between(ts, moment(EPOCH)))
+
+
+def from_instant(instant: Column) -> Column:
+    """The zone-less timestamp an instant reads as in UTC."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), moment(EPOCH))
 
 
 def hour_floor(value: datetime) -> datetime:

@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timebuckets import moment
+from ..functions.timebuckets import EPOCH, moment
 from .filters import TIME, last
 
-EPOCH = "1970-01-01 00:00:00"
-
 
 def last_sync(state: DataFrame, table: str) -> DataFrame:
     """One row: when ``table`` was last synced, the epoch if never."""

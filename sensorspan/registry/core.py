@@ -139,19 +139,18 @@ def measurements(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         rows = rows.join(nation, nation.n_nationkey == rows.user_id % 25).join(
             region, nation.n_regionkey == region.r_regionkey
         )
-    k = READING_K["spark"]
+    rows = rows.withColumn("k", F.expr(READING_K["spark"]))
     return rows.select(
-        *[F.expr(MEASUREMENT_SQL[name].format(k=k)).alias(name) for name in names]
+        *[F.expr(MEASUREMENT_SQL[name].format(k="k")).alias(name) for name in names]
     )
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed with repeats: every object once more, just after, with another value."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    k = READING_K["spark"]
-    once = rows.select(
+    once = rows.withColumn("k", F.expr(READING_K["spark"])).select(
         (F.col("event_id") * 2).alias("pos"),
-        *[F.expr(FEED_SQL[name].format(k=k)).alias(name) for name in FEED_FIELDS],
+        *[F.expr(FEED_SQL[name].format(k="k")).alias(name) for name in FEED_FIELDS],
     )
     again = once.withColumn("pos", F.col("pos") + 1).withColumn("bat_voltage", F.lit("9.9"))
     return once.unionByName(again)

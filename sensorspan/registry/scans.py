@@ -60,15 +60,20 @@ def scan_json_tolerant(spark, sf):
 @query(
     "scan_json_audited",
     sql_with(
-        f"SELECT COUNT(*) FILTER ({WHOLE}) AS parsed, COUNT(*) FILTER (NOT ({WHOLE})) AS dropped"
-        " FROM f",
+        f"SELECT COUNT(*) FILTER ({WHOLE}) AS parsed, COUNT(*) FILTER (NOT ({WHOLE})) AS dropped,"
+        f" COUNT(DISTINCT device_urn) FILTER ({WHOLE}) AS devices FROM f",
         "f",
     ),
 )
 def scan_json_audited(spark, sf):
+    """How many lines parsed, how many did not, and the devices in the former."""
     audited = feeds.scan_audited(spark, _torn_lines(spark, sf))
     bad = F.col("_corrupt_record").isNotNull()
-    return audited.agg(F.count_if(~bad).alias("parsed"), F.count_if(bad).alias("dropped"))
+    return audited.agg(
+        F.count_if(~bad).alias("parsed"),
+        F.count_if(bad).alias("dropped"),
+        F.count_distinct(F.when(~bad, F.col("device_urn"))).alias("devices"),
+    )
 
 
 @query("feed_template_projection", _feed_sql())

@@ -209,8 +209,7 @@ def retention_partitions(spark, sf):
 def backup_table(spark, sf):
     """Lines of text as a backup, restored into the table's types."""
     path = scratch_path(spark, "backup")
-    facts = measurements(spark, sf)
-    exports.write_ndjson(facts.select(*[F.col(c).cast("string") for c in facts.columns]), path)
+    exports.write_ndjson(measurements(spark, sf), path)
     return feeds.scan_tolerant(spark, path, MEASUREMENTS)
 
 
@@ -273,8 +272,8 @@ def explain_query(spark, sf):
     measurements(spark, sf, "device_urn", TIME).createOrReplaceTempView(view)
     return spark.sql(
         f"EXPLAIN FORMATTED SELECT device_urn, COUNT(*) AS reading_count FROM {view}"
-        " WHERE when_captured >= :since GROUP BY device_urn",
-        args={"since": moment(DAY_AGO)},
+        " WHERE when_captured >= CAST(:since AS TIMESTAMP_NTZ) GROUP BY device_urn",
+        args={"since": DAY_AGO.isoformat(sep=" ")},
     )
 
 

@@ -24,16 +24,20 @@ SENSOR_FEEDS = (
 ALL_DEVICES = "all"
 
 
+# Writers cut zone-less times to milliseconds unless told otherwise.
+MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**MICROS).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", False).csv(path)
+    df.write.mode("overwrite").options(**MICROS).option("header", False).csv(path)
 
 
 def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +62,7 @@ def write_json_array(df: DataFrame, path: str) -> None:
     brackets and commas are added in Python, batch by batch; no partition is
     held in memory.
     """
-    objects = df.select(F.to_json(F.struct("*")).alias("value"))
+    objects = df.select(F.to_json(F.struct("*"), MICROS).alias("value"))
     objects.mapInArrow(_bracketed, "value string").write.mode("overwrite").text(path)
 
 
@@ -74,6 +78,7 @@ def write_per_device(df: DataFrame, path: str) -> None:
         named.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
+        .options(**MICROS)
         .partitionBy("device_file")
         .json(path)
     )
@@ -102,4 +107,5 @@ def sensor_feeds(df: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def write_sensor_feeds(df: DataFrame, as_of: datetime, path: str) -> None:
-    sensor_feeds(df, as_of).write.mode("overwrite").partitionBy("sensor").json(path)
+    rows = sensor_feeds(df, as_of)
+    rows.write.mode("overwrite").options(**MICROS).partitionBy("sensor").json(path)

@@ -4,8 +4,9 @@ Each job takes a checkpoint folder and can be stopped, killed and started
 again: file sinks are exactly-once, and every ``foreachBatch`` below writes
 under its batch's own number, so a repeated batch replaces what it wrote.
 
-Watermarks need instants, so the zone-less capture time is read as UTC while
-it is in a stream and turned back at the sink.
+Watermarks need instants, so the zone-less capture time is counted from the
+epoch while it is in a stream and turned back at the sink. Neither step depends
+on the session's zone.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.timebuckets import from_instant, to_instant
 from ..operators.dedupe import newest_per_key
 from ..operators.filters import TIME
 from ..operators.latest import LATEST_COLUMNS
@@ -54,8 +56,7 @@ def positioned(batch: DataFrame) -> DataFrame:
 
 
 def _as_instant(rows: DataFrame) -> DataFrame:
-    utc = F.to_utc_timestamp(F.col(TIME).cast("timestamp"), F.current_timezone())
-    return rows.withColumn(INSTANT, utc)
+    return rows.withColumn(INSTANT, to_instant(F.col(TIME)))
 
 
 def _start(writer, checkpoint: str, continuous: str | None) -> StreamingQuery:
@@ -143,8 +144,9 @@ def stream_rollup(
 def read_rollup(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The rollup a ``stream_rollup`` log amounts to; ``name`` is hour or day."""
     state = read_log(spark, path, ["bucket", *ROLLUP_KEYS])
-    local = F.from_utc_timestamp("bucket", F.current_timezone()).cast("timestamp_ntz")
-    bucket = local.cast("date") if name == "day" else local
+    bucket = from_instant(F.col("bucket"))
+    if name == "day":
+        bucket = bucket.cast("date")
     return summary(state.withColumn(name, bucket), name)
 
 

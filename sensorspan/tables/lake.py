@@ -20,16 +20,16 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import materialise
-from ..functions.timebuckets import day_of, hour_of, moment
+from ..functions.timebuckets import EPOCH, day_of, hour_of, moment
 from ..operators.dedupe import insert_or_ignore, split_keyed
 from ..operators.filters import TIME, last
 from ..operators.rollups import STATE, bucket_state, daily_from_hourly, summary
-from ..operators.tables import EPOCH
 from ..plans.ingest import ingest
 from ..schema import MEASUREMENT_COLUMNS, MEASUREMENTS, ROLLUP_KEYS
 from . import storage
@@ -41,8 +41,27 @@ DAILY = "daily_summary"
 _FACT_FILES = T.StructType(
     [*MEASUREMENTS.fields, T.StructField("load", T.LongType()), T.StructField("day", T.DateType())]
 )
-_MANIFEST = "table string, day date, version bigint"
-_SYNC = "table_name string, last_sync_timestamp timestamp_ntz, total_rows bigint"
+_MANIFEST = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("version", T.LongType()),
+    ]
+)
+_SYNC = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("last_sync_timestamp", T.TimestampNTZType()),
+        T.StructField("total_rows", T.LongType()),
+    ]
+)
+# How the columns of the two small tables above are built on the driver.
+_ARROW = {
+    "string": pa.string(),
+    "date": pa.date32(),
+    "bigint": pa.int64(),
+    "timestamp_ntz": pa.timestamp("us"),
+}
 
 
 def _state_schema(*bucket: T.StructField) -> T.StructType:
@@ -123,7 +142,7 @@ class TelemetryTables:
         version = self.current() if version is None else version
         if version is None:
             return self.spark.createDataFrame([], _SYNC)
-        return self.spark.read.schema(_SYNC).json(f"{self.root}/sync_state/version={version}")
+        return self.spark.read.schema(_SYNC).parquet(f"{self.root}/sync_state/version={version}")
 
     def _resolve(self, version: int | None) -> int:
         found = self.current() if version is None else version
@@ -132,17 +151,16 @@ class TelemetryTables:
         return found
 
     def _fact_files(self, version: int | None, *, published: bool = True) -> DataFrame:
+        found = self._resolve(version) if published else None
         files = self.spark.read.schema(_FACT_FILES).parquet(f"{self.root}/{FACTS}")
-        if not published:
-            return files
-        return files.filter(F.col("load") <= self._resolve(version))
+        return files.filter(F.col("load") <= found) if published else files
 
     def _manifest(self, version: int | None) -> dict[tuple[str, date], int]:
         """Current version of each table's days: a few entries per calendar day."""
         if version is None:
             return {}
         path = f"{self.root}/manifest/version={version}"
-        rows = self.spark.read.schema(_MANIFEST).json(path).collect()
+        rows = self.spark.read.schema(_MANIFEST).parquet(path).collect()
         return {(r.table, r.day): r.version for r in rows}
 
     def _state(
@@ -194,13 +212,13 @@ class TelemetryTables:
         rows = ingest(counted, batch_time or as_of, position)
         staging = f"{self.root}/staging/load={version}"
         rows.withColumn("day", day_of(TIME)).write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.parquet(staging)
-
-        fit, unfit = split_keyed(staged, as_of)
+        fit, unfit = split_keyed(self.spark.read.parquet(staging), as_of)
+        per_day = {r.day: r["count"] for r in fit.groupBy("day").count().collect()}
+        days = sorted(per_day)
         unfit.drop(position, "day").write.mode("overwrite").parquet(
             f"{self.root}/quarantine/load={version}"
         )
-        days = self._days(fit)
+        set_aside = self.spark.read.parquet(f"{self.root}/quarantine/load={version}").count()
         self._append(fit, days, version, position)
         self.refresh(days, version)
 
@@ -217,13 +235,13 @@ class TelemetryTables:
         old_mark = before.last_sync_timestamp if before else datetime.fromisoformat(EPOCH)
         new_mark = max(old_mark, added.newest or old_mark)
         total = (before.total_rows if before else 0) + added.new
-        valid = staged.count()
         self._publish(version, held_version, days, new_mark, total)
         storage.delete(self.spark, staging)
         return {
             "version": version,
             "fetched": fetched.get["rows"],
-            "valid": valid,
+            "valid": sum(per_day.values()) + set_aside,
+            "quarantined": set_aside,
             "new": added.new,
             "total": total,
             "old_watermark": old_mark,
@@ -295,13 +313,22 @@ class TelemetryTables:
     def _write_manifest(
         self, version: int, entries: dict[tuple[str, date], int], mark: datetime, total: int
     ) -> None:
-        sync = self.spark.createDataFrame([(FACTS, mark, total)], _SYNC)
-        sync.coalesce(1).write.mode("overwrite").json(f"{self.root}/sync_state/version={version}")
+        sync = {"table_name": [FACTS], "last_sync_timestamp": [mark], "total_rows": [total]}
         rows = [(table, day, v) for (table, day), v in sorted(entries.items())]
-        manifest = self.spark.createDataFrame(rows, _MANIFEST)
-        manifest.coalesce(1).write.mode("overwrite").json(
-            f"{self.root}/manifest/version={version}"
-        )
+        columns = zip(*rows) if rows else ((), (), ())
+        manifest = dict(zip(_MANIFEST.names, columns))
+        for folder, schema, data in (
+            ("sync_state", _SYNC, sync),
+            ("manifest", _MANIFEST, manifest),
+        ):
+            arrays = {
+                f.name: pa.array(data[f.name], _ARROW[f.dataType.simpleString()])
+                for f in schema.fields
+            }
+            small = self.spark.createDataFrame(pa.table(arrays), schema)
+            small.coalesce(1).write.mode("overwrite").parquet(
+                f"{self.root}/{folder}/version={version}"
+            )
 
     # Keeping ------------------------------------------------------------
 
