@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime
 
 import pytest
 
 from sensorspan.operators.latest import latest_by_device
 from sensorspan.operators.rollups import daily_summary, hourly_summary
-from sensorspan.plans.ingest import ingest
+from sensorspan.plans.ingest import clean_feed, enforce_schema, ingest, valid_time
 from sensorspan.schema import MEASUREMENT_COLUMNS
 from sensorspan.streaming import jobs
 from sensorspan.tables.lake import TelemetryTables
@@ -24,7 +25,10 @@ THIRD = [at(2, 5), at(4, 9, lnd_7318u="2.0"), at(6, 11, **second_device(lnd_7318
 def land(folder, n: int, objects) -> None:
     folder.mkdir(exist_ok=True)
     lines = [json.dumps({**PLAIN, **changed}) for changed in objects]
-    (folder / f"feed-{n}.json").write_text("\n".join(lines) + "\n")
+    path = folder / f"feed-{n}.json"
+    path.write_text("\n".join(lines) + "\n")
+    # A stream takes files by their age; these were all written at once.
+    os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
 
 
 @pytest.fixture()
@@ -106,8 +110,6 @@ def test_rollup_equals_batch(spark, landing, tmp_path, width, name, zone):
 
 def typed_once(spark):
     """All rows, repeats included, as the undeduplicated streams see them."""
-    from sensorspan.plans.ingest import clean_feed, enforce_schema, valid_time
-
     return valid_time(enforce_schema(clean_feed(feed(spark, *FIRST, *SECOND, *THIRD), AS_OF)))
 
 
