@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Keyed state of streams lives on the executors' disks, not on their heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # A relation is broadcast by hint only after its rows were counted and stay
 # below this bound; wider relations take the salted shuffle path instead.
 MAX_BROADCAST_ROWS = 200_000
@@ -29,7 +33,7 @@ def session(app: str = "sensorspan", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         **conf,
     }
     for key, value in settings.items():
@@ -44,9 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="sensorspan-")
-    spark.conf.set(CHECKPOINT_CONF, base)
-    return base
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="sensorspan-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -39,21 +39,41 @@ def unique_by_first(feed: DataFrame, position: str = "pos") -> DataFrame:
     return first_per_key(feed, FEED_KEY, [position])
 
 
-def unmatched(batch: DataFrame, held: DataFrame, keys: Sequence[str] = FACT_KEY) -> DataFrame:
-    """Rows of ``batch`` whose key is not held.
+def without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``right``.
 
     A key with a NULL part matches nothing; such rows go around the join, or
-    they would all meet in one partition of it.
+    they would all meet in one partition of it. Copies of a key on the right
+    combine before the shuffle.
     """
-    known = held.select(*keys).distinct()
+    known = right.select(*keys).distinct()
     complete = all_present(keys)
     return (
-        batch.filter(complete)
+        left.filter(complete)
         .join(known, list(keys), "left_anti")
-        .unionByName(batch.filter(~complete))
+        .unionByName(left.filter(~complete))
     )
 
 
+def unmatched(
+    batch: DataFrame,
+    held: DataFrame,
+    keys: Sequence[str] = FACT_KEY,
+    candidates: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of ``batch`` whose key is not held, for a batch smaller than the table.
+
+    Only held keys that occur in the batch matter. They are picked out first:
+    the batch's keys are the build side there, so while they are small enough
+    to be broadcast, the held rows are scanned but never shuffled.
+    ``candidates`` may name a cheaper relation with the batch's keys.
+    """
+    wanted = (batch if candidates is None else candidates).select(*keys)
+    present = wanted.filter(all_present(keys)).distinct()
+    known = held.select(*keys).join(present, list(keys), "left_semi")
+    return without(batch, known, keys)
+
+
 def unmatched_recent(
     batch: DataFrame,
     held: DataFrame,
@@ -73,7 +93,7 @@ def insert_or_ignore(
     keys: Sequence[str] = FACT_KEY,
 ) -> DataFrame:
     """The rows to append: first of each key in the batch, unless it is held."""
-    return unmatched(first_per_key(batch, keys, order), held, keys)
+    return unmatched(first_per_key(batch, keys, order), held, keys, candidates=batch)
 
 
 def upsert(
@@ -89,7 +109,7 @@ def upsert(
     """
     if order is not None:
         updates = newest_per_key(updates, keys, order)
-    return unmatched(held, updates, keys).unionByName(updates)
+    return without(held, updates, keys).unionByName(updates)
 
 
 def merge_history(

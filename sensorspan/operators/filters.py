@@ -8,7 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..config import MAX_BROADCAST_ROWS
 from ..functions.timebuckets import as_datetime, moment
 
 TIME = "when_captured"
@@ -51,10 +53,10 @@ def in_list(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     wanted = list(dict.fromkeys(values))
     if len(wanted) <= MAX_IN_LIST:
         return df.filter(F.col(column).isin(wanted))
-    field = df.schema[column]
-    listed = df.sparkSession.createDataFrame(
-        [(value,) for value in wanted], f"`{column}` {field.dataType.simpleString()}"
-    )
+    schema = T.StructType([df.schema[column]])
+    listed = df.sparkSession.createDataFrame([(value,) for value in wanted], schema)
+    if len(wanted) <= MAX_BROADCAST_ROWS:
+        listed = F.broadcast(listed)
     return df.join(listed, column, "left_semi")
 
 

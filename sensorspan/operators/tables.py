@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +73,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def empty_clone(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], df.schema)
+    """No rows of the same schema; the planner drops the scan."""
+    return df.limit(0)
+
+
+def empty_relation(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

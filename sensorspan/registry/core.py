@@ -65,7 +65,6 @@ MEASUREMENT_SQL = {
     "pms_pm02_5": "CASE WHEN event_type = 'purchase' THEN CAST(value AS STRING) ELSE '0' END",
     "when_captured": "ts",
 }
-_PLACE_COLUMNS = {"loc_country", "loc_name"}
 
 # A raw feed: the same readings as text, with every kind of defect a device sends.
 _STAMP = "replace(CAST(ts AS STRING), ' ', 'T') || 'Z'"
@@ -133,12 +132,12 @@ def measurements(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """
     names = columns or MEASUREMENT_COLUMNS
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    if _PLACE_COLUMNS & set(names):
+    if {"loc_country", "loc_name"} & set(names):
         nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+        rows = rows.join(nation, nation.n_nationkey == rows.user_id % 25)
+    if "loc_name" in names:
         region = spark.read.parquet(f"{sf_dir}/region.parquet")
-        rows = rows.join(nation, nation.n_nationkey == rows.user_id % 25).join(
-            region, nation.n_regionkey == region.r_regionkey
-        )
+        rows = rows.join(region, rows.n_regionkey == region.r_regionkey)
     rows = rows.withColumn("k", F.expr(READING_K["spark"]))
     return rows.select(
         *[F.expr(MEASUREMENT_SQL[name].format(k="k")).alias(name) for name in names]

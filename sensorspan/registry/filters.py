@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from ..config import materialise
 from ..functions import classify, timebuckets
 from ..functions.casting import to_double
 from ..functions.cleaning import safe_name
@@ -310,7 +311,9 @@ def _limit(n: int) -> str:
 def limit_n(spark, sf):
     """The readings with the highest counts, for each of the panels' limits."""
     rows = measurements(spark, sf, "device_urn", TIME, "lnd_7318u")
-    ranked = rows.orderBy(F.desc("lnd_7318u"), F.desc(TIME), "device_urn")
+    order = [F.desc("lnd_7318u"), F.desc(TIME), "device_urn"]
+    widest = materialise(rows.orderBy(*order).limit(5000), "top")
+    ranked = widest.orderBy(*order)
     return union_all(
         *(ranked.limit(n).select(F.lit(n).alias("top"), "*") for n in (10, 20, 100, 1000, 5000))
     )

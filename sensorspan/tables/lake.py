@@ -29,7 +29,9 @@ from ..config import materialise
 from ..functions.timebuckets import EPOCH, day_of, hour_of, moment
 from ..operators.dedupe import insert_or_ignore, split_keyed
 from ..operators.filters import TIME, last
+from ..operators.latest import latest_by_device
 from ..operators.rollups import STATE, bucket_state, daily_from_hourly, summary
+from ..operators.tables import empty_relation
 from ..plans.ingest import ingest
 from ..schema import MEASUREMENT_COLUMNS, MEASUREMENTS, ROLLUP_KEYS
 from . import storage
@@ -134,6 +136,18 @@ class TelemetryTables:
         """Raw rows of the last days; a pruned scan of the facts."""
         return last(self.facts(version), as_of, days=days)
 
+    def latest(self, version: int | None = None) -> DataFrame:
+        """Newest reading per device, from only the days that hold one.
+
+        The daily rollup tells each device's last day; the facts are read for
+        those days, and of those only the devices that end there.
+        """
+        version = self._resolve(version)
+        ends = self._state(DAILY, version).groupBy("device_urn").agg(F.max("day").alias("day"))
+        days = self._days(ends)
+        rows = self.facts(version).filter(F.col("day").isin(days))
+        return latest_by_device(rows.join(ends, ["device_urn", "day"], "left_semi"))
+
     def quarantine(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/quarantine")
 
@@ -141,7 +155,7 @@ class TelemetryTables:
         """The watermark of a version; an empty relation before the first."""
         version = self.current() if version is None else version
         if version is None:
-            return self.spark.createDataFrame([], _SYNC)
+            return empty_relation(self.spark, _SYNC)
         return self.spark.read.schema(_SYNC).parquet(f"{self.root}/sync_state/version={version}")
 
     def _resolve(self, version: int | None) -> int:
@@ -183,7 +197,7 @@ class TelemetryTables:
     def _state_days(self, table: str, days: list[tuple[date, int]]) -> DataFrame:
         schema = _SCHEMAS[table]
         if not days:
-            return self.spark.createDataFrame([], schema)
+            return empty_relation(self.spark, schema)
         paths = [f"{self.root}/{table}/day={d.isoformat()}/version={v}" for d, v in sorted(days)]
         base = f"{self.root}/{table}"
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
@@ -258,7 +272,7 @@ class TelemetryTables:
         if storage.exists(self.spark, path):
             held = self._fact_files(None, published=False).filter(F.col("day").isin(days))
         else:
-            held = self.spark.createDataFrame([], _FACT_FILES)
+            held = empty_relation(self.spark, _FACT_FILES)
         new = insert_or_ignore(fit, held, [position])
         (
             new.drop(position)

@@ -7,6 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sensorspan.operators.latest import latest_by_device
 from sensorspan.operators.rollups import daily_summary, hourly_summary
 from sensorspan.schema import MEASUREMENT_COLUMNS
 from sensorspan.tables.lake import TelemetryTables
@@ -143,6 +144,15 @@ def test_recent_is_a_slice_of_the_facts(spark, lake):
     assert lake.recent(AS_OF, days=2).count() == 3
 
 
+def test_latest_reads_only_last_days(spark, lake):
+    lake.load(feed(spark, *SECOND), 2, AS_OF)
+    newest = lake.latest()
+    assert rows_of(newest) == rows_of(latest_by_device(lake.facts()))
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    pruned = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+    assert any("day" in p and "2024-01-05" in p and "2024-01-03" not in p for p in pruned), plan
+
+
 def test_range_opens_only_its_days(spark, lake):
     lake.load(feed(spark, *SECOND), 2, AS_OF)
     day = lake.hourly(since=datetime(2024, 1, 5), until=datetime(2024, 1, 5, 23))
