@@ -367,20 +367,16 @@ def anomalies_zscore(spark, sf):
 
 @query(
     "device_uptime",
-    sql_rounded(
-        sql_with(
-            "SELECT device_urn, MIN(when_captured) AS first_seen, MAX(when_captured) AS last_seen,"
-            " COUNT(*) AS total_readings, EXTRACT(EPOCH FROM (MAX(when_captured) -"
-            f" MIN(when_captured))) / 86400 AS days_active FROM m WHERE {RANGE}"
-            " GROUP BY device_urn ORDER BY days_active DESC",
-            "m",
-        ),
-        "days_active",
+    sql_with(
+        "SELECT device_urn, MIN(when_captured) AS first_seen, MAX(when_captured) AS last_seen,"
+        " COUNT(*) AS total_readings, (epoch_us(MAX(when_captured)) -"
+        f" epoch_us(MIN(when_captured))) / 1e6 / 86400 AS days_active FROM m WHERE {RANGE}"
+        " GROUP BY device_urn ORDER BY days_active DESC",
+        "m",
     ),
 )
 def device_uptime(spark, sf):
-    uptime = panels.device_uptime(measurements(spark, sf, "device_urn", TIME), FROM, TO)
-    return rounded(uptime, "days_active")
+    return panels.device_uptime(measurements(spark, sf, "device_urn", TIME), FROM, TO)
 
 
 @query(

@@ -374,19 +374,16 @@ def now_minus_interval(spark, sf):
 
 @query(
     "epoch_days",
-    sql_rounded(
-        sql_with(
-            f"SELECT device, when_captured, EXTRACT(EPOCH FROM ({ts(AS_OF)} - when_captured))"
-            " / 86400 AS age_days FROM m",
-            "m",
-        ),
-        "age_days",
+    sql_with(
+        f"SELECT device, when_captured, (epoch_us({ts(AS_OF)}) - epoch_us(when_captured))"
+        " / 1e6 / 86400 AS age_days FROM m",
+        "m",
     ),
 )
 def epoch_days(spark, sf):
     rows = measurements(spark, sf, "device", TIME)
     age = timebuckets.epoch_days(moment(AS_OF), F.col(TIME)).alias("age_days")
-    return rounded(rows.select("device", TIME, age), "age_days")
+    return rows.select("device", TIME, age)
 
 
 @query(
