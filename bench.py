@@ -1,8 +1,10 @@
 """Time the headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
 
 Prints one JSON line. The tables are built once (their build is timed as
-``build_*``); then every query runs to its last row, once to warm up and three
-times for its median. ``raw_*`` reads the fact table, ``rollup_*`` the rollups.
+``build_*``, ``load_history`` and ``refresh``, the last being the load of one
+day's feed on top of the others); then every query runs to its last row, once to warm up and three
+times for its median. ``raw_*`` reads the fact table, ``rollup_*`` the rollups,
+``published_*`` the versioned tables.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ import tempfile
 import time
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from sensorspan.config import session
 from sensorspan.operators.latest import latest_by_device, map_latest_positions
 from sensorspan.operators.rollups import (
@@ -24,11 +28,16 @@ from sensorspan.operators.rollups import (
 )
 from sensorspan.plans import panels
 from sensorspan.registry.core import AS_OF, DEVICES, FROM, TO, measurements
-from sensorspan.schema import MEASUREMENT_COLUMNS
+from sensorspan.schema import FEED_FIELDS, MEASUREMENT_COLUMNS
+from sensorspan.sinks.exports import write_ndjson
 from sensorspan.sinks.layout import write_clustered
+from sensorspan.sources.feeds import scan_ndjson
+from sensorspan.streaming.jobs import positioned
+from sensorspan.tables.lake import TelemetryTables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+DAY_AGO = AS_OF - timedelta(hours=24)
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
@@ -72,6 +81,20 @@ def main() -> None:
     queries["build_facts"] = timed(build_facts)
     queries["build_rollups"] = timed(build_rollups)
 
+    lake = TelemetryTables(spark, f"{root}/lake")
+    feed = measurements(spark, SF_DIR)
+    texts = [F.col(name).cast("string").alias(name) for name in FEED_FIELDS]
+    fields = feed.select(*texts)
+    in_last_day = F.col("when_captured") >= DAY_AGO.isoformat(sep=" ")
+    write_ndjson(fields.filter(~in_last_day), f"{root}/feed-history")
+    write_ndjson(fields.filter(in_last_day), f"{root}/feed-newest")
+
+    def load(name: str, version: int) -> None:
+        lake.load(positioned(scan_ndjson(spark, f"{root}/{name}")), version, AS_OF)
+
+    queries["load_history"] = timed(lambda: load("feed-history", 1))
+    queries["refresh"] = timed(lambda: load("feed-newest", 2))
+
     facts = spark.read.parquet(f"{root}/facts")
     hourly = spark.read.parquet(f"{root}/hourly")
     daily = spark.read.parquet(f"{root}/daily")
@@ -80,6 +103,8 @@ def main() -> None:
     year = (datetime(2023, 6, 1), AS_OF)
 
     plans = {
+        "published_stats_panel": lambda: panels.stats_panel(lake.hourly(since=DAY_AGO), AS_OF),
+        "published_latest": lake.latest,
         "raw_basic_stats": lambda: panels.basic_stats(facts),
         "raw_last_24h": lambda: panels.device_agg_24h(facts, AS_OF),
         "raw_last_7d_by_day": lambda: panels.daily_activity_7d(facts, AS_OF),
@@ -94,7 +119,7 @@ def main() -> None:
         "rollup_all_devices_24h": lambda: panels.all_devices_24h(hourly, AS_OF),
         "rollup_device_list": lambda: panels.device_list_latest(hourly, AS_OF),
         "rollup_geo_distribution": lambda: panels.geo_distribution(hourly, AS_OF),
-        "rollup_map_positions": lambda: map_latest_positions(hourly, AS_OF - timedelta(hours=24)),
+        "rollup_map_positions": lambda: map_latest_positions(hourly, DAY_AGO),
         "rollup_stats_panel": lambda: panels.stats_panel(hourly, AS_OF),
         "rollup_daily_series": lambda: panels.yearly_series(daily, *year, DEVICES),
     }

@@ -171,11 +171,11 @@ def filter_in_list(spark, sf):
     return flt.in_list(measurements(spark, sf), "device_urn", DEVICES)
 
 
-@query("filter_in_long_list", _where("device_urn LIKE 'fixed:%' AND device < 9000"))
+@query("filter_in_long_list", _where("CAST(device_sn AS INTEGER) BETWEEN 65100 AND 67099"))
 def filter_in_long_list(spark, sf):
-    """More devices than fit a predicate: the list becomes a relation."""
-    wanted = [f"fixed:{n}" for n in range(0, 9000, 3)]
-    return flt.in_list(measurements(spark, sf), "device_urn", wanted)
+    """More serial numbers than fit a predicate: the list becomes a relation."""
+    wanted = [str(n) for n in range(65100, 67100)]
+    return flt.in_list(measurements(spark, sf), "device_sn", wanted)
 
 
 @query("filter_device", _where("device_urn = 'mobile:1'"))

@@ -12,6 +12,7 @@ from ..operators import dedupe
 from ..operators.filters import TIME
 from ..operators.latest import latest_by_device, map_latest_positions
 from ..operators.tables import last_sync, next_sync
+from ..plans.views import register_views, run_sql, standing_views
 from .core import (
     AS_OF,
     EARLY,
@@ -226,3 +227,28 @@ def sync_state(spark, sf):
         F.col("last_sync_timestamp").alias("new_sync"),
         last_sync(state, "hourly_summary").scalar().alias("never_synced"),
     )
+
+
+@query(
+    "sql_on_views",
+    sql_with(
+        "SELECT l.device_urn, l.radiation, l.last_reading, s.hour, s.avg_radiation"
+        " FROM (SELECT DISTINCT ON (device_urn) device_urn, lnd_7318u AS radiation,"
+        " when_captured AS last_reading FROM m ORDER BY device_urn, when_captured DESC) l"
+        " JOIN h s ON s.device_urn = l.device_urn AND s.hour = date_trunc('hour', l.last_reading)"
+        f" WHERE s.hour >= {ts(DAY_AGO)}",
+        "h",
+    ),
+)
+def sql_on_views(spark, sf):
+    """A query in SQL over two of the standing views, with a parameter."""
+    register_views(standing_views(measurements(spark, sf), AS_OF), "standing_")
+    return run_sql(
+        spark,
+        "SELECT l.device_urn, l.radiation, l.last_reading, s.hour, s.avg_radiation"
+        " FROM standing_latest_by_device l JOIN standing_hourly_stats s"
+        " ON s.device_urn = l.device_urn"
+        " AND s.hour = CAST(date_trunc('HOUR', l.last_reading) AS TIMESTAMP_NTZ)"
+        " WHERE s.hour >= CAST(:since AS TIMESTAMP_NTZ)",
+        since=DAY_AGO.isoformat(sep=" "),
+    )

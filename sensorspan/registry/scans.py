@@ -221,7 +221,7 @@ def normalise_legacy_feed(spark, sf):
     )
     facts = measurements(spark, sf)
     texts = [F.col(name).cast("string").alias(name) for name in FEED_FIELDS]
-    write_ndjson(facts.select(*texts, F.lit("zen").alias("device_class")), wide_path)
+    write_ndjson(facts.select(*texts, F.lit("indoor").alias("device_class")), wide_path)
     feed = feeds.normalise_legacy(
         feeds.scan_ndjson(spark, points_path, LEGACY_POINT),
         feeds.scan_ndjson(spark, wide_path, LEGACY_WIDE),

@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import scratch_path
+from ..config import materialise, scratch_path
 from ..functions.timebuckets import moment
 from ..operators.filters import TIME, last
 from ..operators.rollups import daily_summary, hourly_summary, recent_data
@@ -122,12 +122,13 @@ def _loaded(spark, sf, name: str) -> TelemetryTables:
     lake = TelemetryTables(spark, scratch_path(spark, name))
     facts = measurements(spark, sf)
     late = F.col("lnd_7128ec") != "0"
-    feed = facts.select(
+    sent = facts.select(
         *[F.col(c).cast("string").alias(c) for c in FEED_FIELDS],
         F.lit(0).alias("pos"),
         late.alias("late"),
         F.col(TIME).alias("at"),
     )
+    feed = materialise(sent, f"{name}-feed")
     first = feed.filter((F.col("at") < moment(HELD_UNTIL)) & ~F.col("late"))
     second = feed.filter((F.col("at") >= moment(FEED_FROM)) | F.col("late"))
     lake.load(first, 1, AS_OF)
@@ -282,12 +283,28 @@ def layout_by_year(spark, sf):
     return layout.scan_year(spark.read.parquet(path), 2024)
 
 
-@query("table_stats")
+def _column_stats(name: str, ranged: bool) -> str:
+    low, high = (f"CAST({f}({name}) AS VARCHAR)" if ranged else "NULL" for f in ("MIN", "MAX"))
+    return (
+        f"SELECT '{name}' AS col_name, CAST(COUNT(*) - COUNT({name}) AS VARCHAR) AS num_nulls,"
+        f' {low} AS "min", {high} AS "max" FROM m'
+    )
+
+
+_RANGED = ("dev_temp", "device", "env_temp", "lnd_7318u", "loc_lat", "loc_lon", "when_captured")
+
+
+@query(
+    "table_stats",
+    sql_with(
+        " UNION ALL ".join(_column_stats(c, c in _RANGED) for c in MEASUREMENT_COLUMNS), "m"
+    ),
+)
 def table_stats(spark, sf):
-    """What the catalog knows of each column after ANALYZE."""
+    """What the catalog knows exactly of each column after ANALYZE."""
     name = _table("measurements")
     measurements(spark, sf).write.saveAsTable(name)
-    return tables.table_statistics(spark, name)
+    return tables.table_statistics(spark, name).select("col_name", "num_nulls", "min", "max")
 
 
 @query("explain_query")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.tables import row_counts
 
+# Catalog entries of a column.
+STATISTICS = ("col_name", "num_nulls", "min", "max", "distinct_count", "avg_col_len", "max_col_len")
+
 
 def scan_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(path)
@@ -48,12 +52,18 @@ def ensure_tables(
 
 
 def table_statistics(spark: SparkSession, table: str) -> DataFrame:
-    """Run ANALYZE on a table and return what the catalog now knows of it."""
+    """Run ANALYZE on a table; one row per column with what the catalog now knows.
+
+    Only catalog entries pass through the driver, a few per column.
+    """
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    known = None
+    known: dict[str, list] = {name: [] for name in STATISTICS}
     for column in spark.table(table).columns:
-        facts = spark.sql(f"DESCRIBE EXTENDED {table} {column}").filter(
-            "info_name in ('col_name', 'num_nulls', 'distinct_count', 'min', 'max')"
-        )
-        known = facts if known is None else known.unionByName(facts)
-    return known
+        described = spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()
+        facts = {row.info_name: row.info_value for row in described}
+        known["col_name"].append(column)
+        for name in STATISTICS[1:]:
+            value = facts.get(name)
+            known[name].append(None if value in (None, "NULL") else value)
+    text = {name: pa.array(values, pa.string()) for name, values in known.items()}
+    return spark.createDataFrame(pa.table(text))
