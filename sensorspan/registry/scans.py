@@ -39,11 +39,11 @@ def scan_ndjson(spark, sf):
 
 
 def _torn_lines(spark, sf) -> str:
-    """Feed lines, of which those of devices named ``a:`` end in mid-object."""
+    """Feed lines, of which those of devices named ``a:`` lack their last brace."""
     feed = raw_feed(spark, sf).drop("pos")
     line = F.to_json(F.struct("*"))
     torn = F.startswith(F.coalesce("device_urn", F.lit("")), F.lit("a:"))
-    text = F.when(torn, F.substring(line, 1, 40)).otherwise(line)
+    text = F.when(torn, F.regexp_replace(line, r"\}$", "")).otherwise(line)
     path = scratch_path(spark, "feed-torn")
     feed.select(text.alias("value")).write.text(path)
     return path
