@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontamination import contaminations
+from .html import extract_text
+from .language import identify_languages
+from .minhash import fingerprint_documents
 from .mixing import mix
 from .sharding import shard_documents
 from .simhash import near_duplicates
+from .urls import filter_urls
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,11 +23,36 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found inside documents, up to a few edits."""
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, of an edited text of it, and their likeness."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     return shard_documents(table(spark, sf_dir, "documents"), 40)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of the sources by weight takes of every document."""
     mixed = mix(table(spark, sf_dir, "documents"))
@@ -30,6 +60,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op7_sharding, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup,
+        op3_decontamination,
+        op5_document_fingerprints,
+        op6_url_filters,
+        op7_sharding,
+        op8_html_extraction,
+        op9_language_id,
+        op10_mixing,
+    )
 }
 ORACLES: dict[str, str] = {}
