@@ -13,6 +13,7 @@ from .html import extract_text
 from .language import identify_languages
 from .minhash import fingerprint_documents
 from .mixing import mix
+from .scoring import score_documents
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .urls import filter_urls
@@ -28,6 +29,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by word counts and by the attention model."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document, of an edited text of it, and their likeness."""
     return fingerprint_documents(table(spark, sf_dir, "documents"))
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_simhash_near_dedup,
         op3_decontamination,
+        op4_lm_scoring,
         op5_document_fingerprints,
         op6_url_filters,
         op7_sharding,
