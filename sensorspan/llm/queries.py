@@ -14,6 +14,7 @@ from .language import identify_languages
 from .minhash import fingerprint_documents
 from .mixing import mix
 from .scoring import score_documents
+from .secrets import scan_secrets
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .urls import filter_urls
@@ -24,6 +25,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for secrets in all documents, with the forest's verdict."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found inside documents, up to a few edits."""
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_secret_scan,
         op3_decontamination,
         op4_lm_scoring,
         op5_document_fingerprints,
