@@ -162,12 +162,12 @@ def _chained(rows: DataFrame, bounds: list[int], present: list[int], nulls: bool
         [(x, order[i - 1]) for i, x in enumerate(order)], "head long, before long"
     ).select("head", F.when(F.col("before").isNull(), F.lit(-1)).otherwise(piece_of(F.col("before"), bounds)).cast("int").alias("also"))
     marked = rows.withColumn("fingerprint", fingerprint(F.col("text"))).withColumn("home", home)
-    # One head for each piece: a few rows, found by id.
+    # One head for each piece: a few rows, found by id before anything is computed of them.
     heads = (
-        marked.join(F.broadcast(pieces), F.col("doc_id").eqNullSafe(F.col("head")))
+        rows.join(F.broadcast(pieces), F.col("doc_id").eqNullSafe(F.col("head")))
         .groupBy("head", "also")
-        .agg(F.min(F.struct("text", "fingerprint")).alias("first"))
-        .select("also", F.col("first.text").alias("text"), F.col("first.fingerprint").alias("fingerprint"))
+        .agg(F.min("text").alias("text"))
+        .select("also", "text", fingerprint(F.col("text")).alias("fingerprint"))
     )
     both = marked.select("home", "doc_id", "text", "fingerprint", F.lit(False).alias("extra")).unionByName(
         heads.select(F.col("also").alias("home"), F.lit(None).cast("long").alias("doc_id"), "text", "fingerprint", F.lit(True).alias("extra"))
