@@ -144,18 +144,39 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RA
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    parts = [_search(rows, block, rate) for block in item_blocks(items)]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items (item_id, text), normalised, in blocks of about ``BLOCK_CHARS`` characters; at least one block."""
     items = items.where("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // BLOCK_CHARS))
-    parts = []
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block) if blocks > 1 else items
-        texts = [(r["item_id"], normalised(r["text"])) for r in own.collect()]
-        parts.append(_search(rows, [(i, t) for i, t in texts if len(t) >= LEAST_CHARS], rate))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
+        texts = [(r["item_id"], normalised(r["text"])) for r in own.select("item_id", "text").collect()]
+        yield [(i, t) for i, t in texts if len(t) >= LEAST_CHARS]
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+    """Rows of ``docs`` (text and any others) that hold no item of ``benchmark``, as they are."""
+
+    def free_of(items: list[tuple[int, str]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(items, rate)
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index("text"))
+                yield batch.filter(pa.array([not matcher.best(normalised(t.as_py())) for t in texts], pa.bool_()))
+
+        return run
+
+    for block in item_blocks(benchmark):
+        docs = docs.mapInArrow(free_of(block), docs.schema)
+    return docs
 
 
 def _search(rows: DataFrame, items: list[tuple[int, str]], rate: float) -> DataFrame:

@@ -241,6 +241,30 @@ def predict_languages(texts: DataFrame, model: Model) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_certain(docs: DataFrame, least: float) -> DataFrame:
+    """Rows of ``docs`` (text, lang and any others) whose language is known with a score of ``least`` or more.
+
+    The labelled rows teach the model. Rejected are texts without a letter, null
+    ones too, and texts of which the model is less certain. Without any labelled
+    row nothing can be told apart and only texts without a letter go. Columns
+    and repeated rows stay as they are.
+    """
+    model = train(docs.select(F.xxhash64("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for text in batch.column(batch.schema.get_field_index("text")):
+                if model.languages:
+                    lang, score = model.predict(text.as_py())
+                    kept.append(lang != UNKNOWN and score >= least)
+                else:
+                    kept.append(gram_counts(text.as_py()) is not None)
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify_languages(docs: DataFrame) -> DataFrame:
     """The language of every row of ``docs`` (doc_id, text, lang).
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import saved
 from .components import connected_components
@@ -50,16 +51,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, of every row of ``docs`` (doc_id, text)."""
+def with_fingerprints(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` (text and any others) and, in a last column, the fingerprint of the text as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            texts = batch.column(batch.schema.get_field_index("text"))
+            values = np.array([fingerprint(t.as_py()) for t in texts], np.uint64)
+            yield batch.append_column(name, pa.array(values.view(np.int64)))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id and fp of every row of ``docs`` (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return with_fingerprints(rows, "fp").select("doc_id", "fp")
 
 
 def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
@@ -79,21 +86,21 @@ def _tiles(size: Column, fp: Column) -> Column:
     )
 
 
-def forest(members: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the members that differ in at most ``distance`` bits."""
-    edges: list[tuple[int, int]] = []
-    left = members
+def forest(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """For each member that close pairs connect to a lesser one: the least it is connected to, and itself."""
+    roots, reached = [], []
+    left = np.sort(members.view(np.int64)).view(np.uint64)
     while len(left) > 1:
-        queue, left = [left[0]], left[1:]
+        least, queue, left = left[0], [left[0]], left[1:]
         while queue and len(left):
-            centre = queue.pop()
-            near = np.bitwise_count(left ^ centre) <= distance
+            near = np.bitwise_count(left ^ queue.pop()) <= distance
             if near.any():
-                reached = left[near]
-                edges.extend((int(centre), int(x)) for x in reached)
-                queue.extend(reached)
+                queue.extend(left[near])
+                reached.append(left[near])
+                roots.append(np.full(len(reached[-1]), least))
                 left = left[~near]
-    return edges
+    none = np.empty(0, np.uint64)
+    return np.concatenate([none, *roots]), np.concatenate([none, *reached])
 
 
 def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
@@ -108,10 +115,9 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
         a.append(fps[close].view(np.int64))
         b.append(fps[close + 1].view(np.int64))
         for start, end in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-            if found := forest(fps[start:end], distance):
-                pairs = np.array(found, np.uint64).view(np.int64)
-                a.append(pairs[:, 0])
-                b.append(pairs[:, 1])
+            roots, reached = forest(fps[start:end], distance)
+            a.append(roots.view(np.int64))
+            b.append(reached.view(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     held_ids, held_fps = np.empty((0, 4), np.int64), np.empty(0, np.uint64)
@@ -154,9 +160,31 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLO
     rows. Other columns are ignored; texts are read whole.
     """
     rows = saved(fingerprints(docs))
-    nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(close_links(nodes.select("fp"), distance, blocks))
-    grouped = nodes.join(roots, nodes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    grouped = _grouped(rows, distance, blocks)
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     components = grouped.join(named, "root").select("fp", "component_id")
     return rows.join(components, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(rows: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """The distinct fingerprints of rows (doc_id, fp): fp, least (doc_id), root (the least fp of the component)."""
+    nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = connected_components(close_links(nodes.select("fp"), distance, blocks))
+    joined = nodes.join(roots, nodes["fp"] == roots["node"], "left")
+    return saved(joined.select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
+def keep_one(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """One row of each component of near duplicates among ``docs`` (doc_id, text and any others), as it is.
+
+    The row with the least doc_id stays, of equal ids the one with the least
+    fingerprint; a row without an id stays only where no other has one. Repeated rows count as copies.
+    """
+    name = "_fp"
+    while name in docs.columns:
+        name += "_"
+    chosen = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("chosen")
+    kept = _grouped(saved(fingerprints(docs)), distance, blocks).groupBy("root").agg(chosen).select("chosen.least", "chosen.fp")
+    marked = with_fingerprints(docs, name)
+    rows = marked.join(kept, (marked[name] == kept["fp"]) & marked["doc_id"].eqNullSafe(kept["least"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", name]).drop(name)
