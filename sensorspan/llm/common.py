@@ -58,6 +58,15 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus
 
 
+def drawn(key: Column, share: Column) -> Column:
+    """Whether a row is in a sample of ``share`` of all rows, by a hash of ``key``.
+
+    No row is compared with others, so nothing is gathered to draw a sample.
+    """
+    fine = 1 << 52
+    return F.xxhash64(key, F.lit("sample")).bitwiseAND(F.lit(fine - 1)) < share * fine
+
+
 def ranked(df: DataFrame, groups: Iterable[str], order: Iterable[str], name: str = "rank") -> DataFrame:
     """Number the rows of each group from 0 in ``order``, without gathering a group.
 

@@ -5,9 +5,9 @@ scaled to length one. The model is trained by follow-the-regularised-leader
 (FTRL-proximal) with an elastic net, which leaves most weights zero, and its scores
 are calibrated by one temperature on labelled rows it was not trained on.
 
-Document frequencies count all rows to learn from. The weights are fitted on a bounded
-sample of them: of each language the ``PER_LANGUAGE`` rows with the least hash
-of their id. Every text is read whole.
+Document frequencies count all rows to learn from. The weights are fitted on a
+bounded sample of them: of each language about ``PER_LANGUAGE`` rows, drawn by hash.
+Every text is read whole.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import drawn, remainder
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -184,36 +184,37 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def train(labelled: DataFrame) -> Model:
-    """Fit a model on rows (doc_id, text, lang); null languages and texts without letters teach nothing."""
-    rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    """Fit a model on rows (text, lang); null languages and texts without letters teach nothing."""
+    rows = labelled.where("lang is not null and text is not null").select("text", "lang")
     frequency, documents = document_frequencies(rows.select("text"))
     idf = np.log((1.0 + documents) / (1.0 + frequency)) + 1.0
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    sample = rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= PER_LANGUAGE)
+    placed = rows.withColumn("_row", F.monotonically_increasing_id())
+    share = placed.groupBy(F.col("lang").alias("_lang")).agg((F.lit(float(PER_LANGUAGE)) / F.count("*")).alias("_share"))
+    sample = placed.join(F.broadcast(share), F.col("lang") == F.col("_lang")).where(drawn(F.col("_row"), F.col("_share")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, lang, rank in zip(*(batch.column(c) for c in ("text", "lang", "_rank"))):
+            for text, lang, row in zip(*(batch.column(c) for c in ("text", "lang", "_row"))):
                 if (counts := gram_counts(text.as_py())) is not None:
                     index, values = features(counts, idf)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([lang.as_py()]),
-                            pa.array([rank.as_py()], pa.int64()),
+                            pa.array([row.as_py()], pa.int64()),
                             pa.array([index.astype(np.int32)], pa.list_(pa.int32())),
                             pa.array([values.astype(np.float32)], pa.list_(pa.float32())),
                         ],
-                        ["lang", "rank", "index", "weights"],
+                        ["lang", "row", "index", "weights"],
                     )
 
-    found = sample.mapInArrow(run, "lang string, rank long, index array<int>, weights array<float>").toArrow()
-    drawn = sorted(zip(*(found.column(c).to_pylist() for c in ("lang", "rank")), range(found.num_rows)))
+    found = sample.mapInArrow(run, "lang string, row long, index array<int>, weights array<float>").toArrow()
+    taken = sorted(zip(*(found.column(c).to_pylist() for c in ("lang", "row")), range(found.num_rows)))
     vectors = [
-        (np.asarray(found["index"][i].values), np.asarray(found["weights"][i].values, np.float64)) for _, _, i in drawn
+        (np.asarray(found["index"][i].values), np.asarray(found["weights"][i].values, np.float64)) for _, _, i in taken
     ]
-    languages = sorted({lang for lang, _, _ in drawn})
-    own = [languages.index(lang) for lang, _, _ in drawn]
-    back = [rank % CALIBRATE_EVERY == 0 for _, rank, _ in drawn]
+    languages = sorted({lang for lang, _, _ in taken})
+    own = [languages.index(lang) for lang, _, _ in taken]
+    back = [i % CALIBRATE_EVERY == CALIBRATE_EVERY - 1 for i in range(len(taken))]
     learn = [i for i, b in enumerate(back) if not b]
     if not languages:
         return Model([], idf, np.zeros((BUCKETS + 1, 0)))
@@ -249,7 +250,7 @@ def keep_certain(docs: DataFrame, least: float) -> DataFrame:
     row nothing can be told apart and only texts without a letter go. Columns
     and repeated rows stay as they are.
     """
-    model = train(docs.select(F.xxhash64("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
+    model = train(docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

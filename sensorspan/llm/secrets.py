@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, saved
+from .common import SPACE, drawn, let, saved
 
 # A candidate: 16 key characters or more, or 12 with a digit among them.
 RUN = r"[A-Za-z0-9+/_\-]{12,}"
@@ -37,7 +37,7 @@ HARMLESS = r"(?i)example|sample|dummy|placeholder|changeme|redacted|uuid|guid|co
 # A word is in the dictionary if it is this share of all words or more; so there are at most that many.
 DICTIONARY_SHARE = 5000
 DICTIONARY_LEAST = 3
-# Labelled findings of each kind that the forest learns from, at most.
+# Labelled findings of each kind that the forest learns from, about, at most.
 LABELLED = 10_000
 TREES, DEPTH, SEED = 40, 8, 17
 THRESHOLD = 0.5
@@ -151,13 +151,14 @@ def own_labels(found: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, limit: int = LABELLED):
     """A forest from findings (FEATURES, label); None unless there are findings of both kinds.
 
-    Of each kind the ``limit`` findings with the least hashes are used; equal ones count once.
+    Of each kind about ``limit`` findings are drawn by hash; equal ones are one that weighs more.
     """
-    distinct = labelled.groupBy(*FEATURES, "label").agg(F.count("*").alias("weight"))
-    order = [F.xxhash64(*FEATURES), *FEATURES]
-    sample = saved(
-        distinct.where("label = 1").orderBy(*order).limit(limit).unionByName(distinct.where("label = 0").orderBy(*order).limit(limit))
-    )
+    distinct = saved(labelled.groupBy(*FEATURES, "label").agg(F.count("*").alias("weight")))
+    held = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
+    if len(held) < 2:
+        return None
+    share = F.when(F.col("label") == 1, limit / held[1.0]).otherwise(limit / held[0.0])
+    sample = saved(distinct.where(drawn(F.xxhash64(*FEATURES), share)).orderBy(*FEATURES))
     if sample.select("label").distinct().count() < 2:
         return None
     # Both kinds weigh the same in all.
