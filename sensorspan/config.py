@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+WAREHOUSE_CONF = "spark.sql.warehouse.dir"
 
 # Keyed state of streams lives on the executors' disks, not on their heap.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# A relation is broadcast by hint only after its rows were counted and stay
-# below this bound; wider relations take the salted shuffle path instead.
-MAX_BROADCAST_ROWS = 200_000
-
-
 def session(app: str = "sensorspan", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the queries expect.
 
@@ -42,18 +36,12 @@ def session(app: str = "sensorspan", master: str | None = None, **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the session."""
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    return _local_dir()
+    """The folder every executor can reach, as named by the session.
 
-
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="sensorspan-")
+    That is the checkpoint folder, or the warehouse of a session without one.
+    """
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.conf.get(WAREHOUSE_CONF)
+    return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

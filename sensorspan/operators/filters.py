@@ -8,17 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..config import MAX_BROADCAST_ROWS
 from ..functions.timebuckets import as_datetime, moment
 
 TIME = "when_captured"
 PARTITION = "day"
 
-# Beyond this many values a list is joined as a relation instead.
-MAX_IN_LIST = 1000
-
 # Fixed value: captures from this moment on are clock errors.
 SANE_UPPER = "2030-01-01 00:00:00"
 
@@ -50,14 +45,8 @@ def time_filter(
 
 
 def in_list(df: DataFrame, column: str, values: Iterable) -> DataFrame:
-    wanted = list(dict.fromkeys(values))
-    if len(wanted) <= MAX_IN_LIST:
-        return df.filter(F.col(column).isin(wanted))
-    schema = T.StructType([df.schema[column]])
-    listed = df.sparkSession.createDataFrame([(value,) for value in wanted], schema)
-    if len(wanted) <= MAX_BROADCAST_ROWS:
-        listed = F.broadcast(listed)
-    return df.join(listed, column, "left_semi")
+    """Rows with one of the given values, which the scan can skip files by."""
+    return df.filter(F.col(column).isin(list(dict.fromkeys(values))))
 
 
 def equals(df: DataFrame, column: str, value: object) -> DataFrame:

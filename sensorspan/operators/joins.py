@@ -5,35 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MAX_BROADCAST_ROWS, materialise
 
-# Copies of the per-device relation in the shuffled join. A device's facts are
-# spread over this many partitions by their time.
-SALTS = 64
+def join_device_stats(facts: DataFrame, stats: DataFrame) -> DataFrame:
+    """Facts with their device's statistics; ``stats`` has one row per device.
 
-
-def salted_join(facts: DataFrame, per_device: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Equi-join on the device, with every device's facts split over ``salts``."""
-    spread = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64("when_captured"), F.lit(salts)).cast("int")
-    )
-    copies = per_device.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, ["device_urn", "_salt"]).drop("_salt")
-
-
-def join_device_stats(
-    facts: DataFrame, stats: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """Facts with their device's statistics.
-
-    ``stats`` has one row per device. It is written out and counted first:
-    up to ``max_rows`` it is broadcast and the facts do not move, above that
-    both sides are shuffled with a salt.
+    There is no hint: the planner broadcasts ``stats`` while its measured size
+    allows it, and otherwise splits the facts of a device that has too many.
     """
-    held = materialise(stats, "device-stats")
-    if held.count() <= max_rows:
-        return facts.join(F.broadcast(held), "device_urn")
-    return salted_join(facts, held)
+    return facts.join(stats, "device_urn")
 
 
 def device_radiation_stats(facts: DataFrame) -> DataFrame:

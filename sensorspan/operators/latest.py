@@ -22,8 +22,11 @@ def latest_by_device(facts: DataFrame) -> DataFrame:
         F.col("lnd_7318u").alias("radiation"),
         F.col("when_captured").alias("last_reading"),
     )
+    # The newest time is a plain maximum; only rows at that time are compared whole.
+    newest = rows.groupBy("device_urn").agg(F.max("last_reading").alias("last_reading"))
+    ends = rows.join(newest, ["device_urn", "last_reading"], "left_semi")
     order = ["last_reading", *[c for c in rows.columns if c not in ("device_urn", "last_reading")]]
-    return newest_per_key(rows, ["device_urn"], order)
+    return newest_per_key(ends, ["device_urn"], order)
 
 
 def map_latest_positions(hourly: DataFrame, since) -> DataFrame:

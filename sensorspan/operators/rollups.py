@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timebuckets import day_of, day_start, hour_ceil, hour_floor, hour_of, moment
 from ..schema import ROLLUP_KEYS
-from .filters import TIME, last
+from .filters import PARTITION, TIME, last
 
 STATE = (
     "reading_count",
@@ -46,7 +46,7 @@ def bucket_state(facts: DataFrame, bucket: Column, name: str, keys=ROLLUP_KEYS)
 
 
 def merge_state(state: DataFrame, bucket: Column, name: str, keys=ROLLUP_KEYS) -> DataFrame:
-    """State of wider buckets from state of narrower ones."""
+    """State of equal or wider buckets from state of narrower ones, or of several parts."""
     sums = ("reading_count", "radiation_sum", "radiation_n", "temp_sum", "temp_n")
     merged = [F.sum(c).alias(c) for c in sums]
     merged += [F.max(c).alias(c) for c in ("max_radiation", "max_temp")]
@@ -116,30 +116,41 @@ def recent_data(facts: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
 
 def refreshed(rollup: DataFrame, recomputed: DataFrame, bucket: str, touched: DataFrame) -> DataFrame:
     """A rollup with the touched buckets exchanged for their recomputed rows."""
-    return rollup.join(F.broadcast(touched), bucket, "left_anti").unionByName(recomputed)
+    return rollup.join(touched, bucket, "left_anti").unionByName(recomputed)
 
 
 def touched_buckets(rows: DataFrame, bucket: Column, name: str) -> DataFrame:
-    """The distinct time buckets of some rows.
-
-    Broadcast below: there are at most 24 of them per calendar day, whatever
-    the number of rows and devices, so the size is bounded by the history's
-    length (ten years of hours are under 1 MB).
-    """
+    """The distinct time buckets of some rows."""
     return rows.select(bucket.alias(name)).distinct()
 
 
 def in_buckets(facts: DataFrame, touched: DataFrame, bucket: Column, name: str) -> DataFrame:
-    inside = facts.withColumn(name, bucket).join(F.broadcast(touched), name, "left_semi")
-    return inside.drop(name)
+    """Facts of the touched buckets. The bucket is computed beside the facts' own
+    columns, so that a table's partitions can still be pruned."""
+    wanted = touched.withColumnRenamed(name, "_touched")
+    return facts.join(wanted, bucket == F.col("_touched"), "left_semi")
+
+
+def on_days_of(facts: DataFrame, new: DataFrame) -> DataFrame:
+    """Facts of the calendar days that ``new`` touches.
+
+    On a table partitioned by ``day`` the days become literals, a few for a
+    feed, and only their partitions are read.
+    """
+    if PARTITION not in facts.columns:
+        return facts
+    days = [r[0] for r in new.select(day_of(TIME)).distinct().collect() if r[0] is not None]
+    return facts.filter(F.col(PARTITION).isin(days))
 
 
 def hourly_incremental(
     held: DataFrame, facts: DataFrame, new: DataFrame, as_of: datetime, days: int = 30
 ) -> DataFrame:
     """Exchange every hour that got a new row, however old it is."""
-    touched = touched_buckets(last(new, as_of, days=days), hour_of(TIME), "hour")
-    affected = in_buckets(last(facts, as_of, days=days), touched, hour_of(TIME), "hour")
+    recent = last(new, as_of, days=days)
+    touched = touched_buckets(recent, hour_of(TIME), "hour")
+    rows = on_days_of(last(facts, as_of, days=days), recent)
+    affected = in_buckets(rows, touched, hour_of(TIME), "hour")
     recomputed = summary(bucket_state(affected, hour_of(TIME), "hour"), "hour")
     return refreshed(held, recomputed, "hour", touched)
 
@@ -147,7 +158,7 @@ def hourly_incremental(
 def daily_incremental(held: DataFrame, facts: DataFrame, new: DataFrame) -> DataFrame:
     """Exchange every day that got a new row."""
     touched = touched_buckets(new, day_of(TIME), "day")
-    affected = in_buckets(facts, touched, day_of(TIME), "day")
+    affected = in_buckets(on_days_of(facts, new), touched, day_of(TIME), "day")
     recomputed = summary(bucket_state(affected, day_of(TIME), "day"), "day")
     return refreshed(held, recomputed, "day", touched)
 

@@ -16,7 +16,7 @@ from ..functions.cleaning import (
     fill_timestamp,
 )
 from ..operators.dedupe import unique_by_first
-from ..schema import MEASUREMENT_COLUMNS
+from ..schema import FEED_KEY, MEASUREMENT_COLUMNS
 
 
 def clean_feed(feed: DataFrame, batch_time: datetime, *keep: str) -> DataFrame:
@@ -60,8 +60,11 @@ def valid_time(typed: DataFrame) -> DataFrame:
 def ingest(feed: DataFrame, batch_time: datetime, position: str = "pos") -> DataFrame:
     """Dedupe on the raw values, clean, type, drop rows without a time.
 
-    ``position`` is the objects' place in the feed; it stays on the rows, as
-    the order in which later steps let the first one win.
+    ``position`` is the objects' place in the feed. It stays on the rows as the
+    order in which later steps let the first one win: by raw device, by raw
+    time, then by that place, whatever the device's number is.
     """
     first = unique_by_first(feed, position)
-    return valid_time(enforce_schema(clean_feed(first, batch_time, position), position))
+    place = F.struct(*FEED_KEY, F.col(position).alias("place"))
+    rows = first.withColumn(position, place)
+    return valid_time(enforce_schema(clean_feed(rows, batch_time, position), position))

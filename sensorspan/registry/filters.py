@@ -163,6 +163,21 @@ def filter_from_max_day(spark, sf):
     return flt.from_newest_bucket(facts, held, "day", "2000-01-01 00:00:00")
 
 
+@query(
+    "filter_from_newest_day",
+    sql_with(
+        "SELECT m.* FROM m WHERE when_captured >= (SELECT MAX(day) FROM d"
+        f" WHERE day < CAST({ts(HELD_UNTIL)} AS DATE))",
+        "d",
+    ),
+)
+def filter_from_newest_day(spark, sf):
+    """A filled daily rollup: everything since the start of its newest day."""
+    facts = measurements(spark, sf)
+    held = daily_summary(facts).filter(F.col("day") < F.lit(HELD_UNTIL.date()))
+    return flt.from_newest_bucket(facts, held, "day", "2000-01-01 00:00:00")
+
+
 # Values ----------------------------------------------------------------------
 
 

@@ -301,22 +301,8 @@ _RANGED = ("dev_temp", "device", "env_temp", "lnd_7318u", "loc_lat", "loc_lon",
     ),
 )
 def table_stats(spark, sf):
-    """What the catalog knows exactly of each column after ANALYZE."""
-    name = _table("measurements")
-    measurements(spark, sf).write.saveAsTable(name)
-    return tables.table_statistics(spark, name).select("col_name", "num_nulls", "min", "max")
-
-
-@query("explain_query")
-def explain_query(spark, sf):
-    """The plan of the readings per device of the last 24 hours."""
-    view = _table("measurements")
-    measurements(spark, sf, "device_urn", TIME).createOrReplaceTempView(view)
-    return spark.sql(
-        f"EXPLAIN FORMATTED SELECT device_urn, COUNT(*) AS reading_count FROM {view}"
-        " WHERE when_captured >= CAST(:since AS TIMESTAMP_NTZ) GROUP BY device_urn",
-        args={"since": DAY_AGO.isoformat(sep=" ")},
-    )
+    """Nulls and extremes of each column."""
+    return tables.column_statistics(measurements(spark, sf), _RANGED)
 
 
 # Exports ---------------------------------------------------------------------

@@ -1,98 +1,158 @@
 """Streaming jobs run to the end of a landed feed; each must end where the
-batch query does."""
+batch query does.
+
+The feed is what devices send. Every reading comes twice, in different files;
+some devices also send one without a time. Before all of that, in the first
+batch, there is a reading from the year 2080 and one without a device.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
+from ..functions.timebuckets import moment
+from ..operators.dedupe import newest_per_key
+from ..operators.filters import TIME
 from ..schema import FEED_FIELDS, MEASUREMENT_COLUMNS
-from ..sinks.exports import write_ndjson
 from ..streaming import jobs
 from ..tables.lake import TelemetryTables
-from .core import AS_OF, measurements, query, sql_with
+from .core import _VIEWS, AS_OF, FEED_FROM, HELD_UNTIL, measurements, query, sql_with, ts
+
+FILES_PER_BATCH = 2
+TIMELESS = "air:%"
+_TEXTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def sql_sent(body: str, *views: str) -> str:
+    """``body`` over views of all that was sent: a reading without a time counts at the batch's time."""
+    timeless = (
+        f"SELECT * REPLACE ({ts(AS_OF)} AS when_captured) FROM (SELECT DISTINCT ON (device_urn) *"
+        f" FROM once WHERE device_urn LIKE '{TIMELESS}' ORDER BY device_urn, when_captured DESC)"
+    )
+    parts = [
+        f"once AS ({_VIEWS['m'][1]})",
+        f"m AS (SELECT * FROM once UNION ALL (SELECT * FROM ({timeless})))",
+        *(f"{name} AS ({_VIEWS[name][1]})" for name in views),
+    ]
+    return f"WITH {', '.join(parts)} {body}"
+
 
-FILES_PER_BATCH = 4
+def _texts(facts):
+    return facts.select(*[F.col(name).cast("string").alias(name) for name in FEED_FIELDS])
 
 
-def _landed(spark, sf, copies: int = 1) -> str:
-    """The facts as feed files, sent ``copies`` times."""
+def _land(rows, path: str) -> None:
+    rows.hint("rebalance").write.mode("append").options(**_TEXTS).json(path)
+
+
+def _sent(spark, sf) -> str:
+    """The landing folder, file after file."""
     path = scratch_path(spark, "landing")
     facts = measurements(spark, sf)
-    feed = facts.select(*[F.col(name).cast("string").alias(name) for name in FEED_FIELDS])
-    for _ in range(1, copies):
-        feed = feed.unionByName(feed)
-    write_ndjson(feed.repartition(8, "device_urn", "when_captured"), path)
+    one = _texts(facts).limit(1)
+    future = one.withColumn(TIME, F.lit("2080-01-09 00:00:00"))
+    _land(future.unionByName(one.withColumn("device", F.lit("abc"))), path)
+    newest = newest_per_key(facts.filter(F.col("device_urn").like(TIMELESS)), ["device_urn"], [TIME])
+    timeless = _texts(newest).withColumn(TIME, F.lit(None).cast("string"))
+    for _ in range(2):
+        _land(_texts(facts).unionByName(timeless), path)
     return path
 
 
-def _feed(spark, sf, copies: int = 1):
-    return jobs.read_feed(spark, _landed(spark, sf, copies), files_per_batch=FILES_PER_BATCH)
+def _stream(spark, path: str):
+    return jobs.read_feed(spark, path, files_per_batch=FILES_PER_BATCH)
+
+
+_STREAMED: dict[tuple[str, str], str] = {}
 
 
-def _paths(spark, name: str) -> tuple[str, str]:
-    return scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+def _published(spark, sf) -> str:
+    """Tables that one stream has filled, once per application for all readers."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STREAMED:
+        root, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "checkpoint")
+        jobs.stream_publish(
+            _stream(spark, _sent(spark, sf)), root, checkpoint, lambda: AS_OF
+        ).awaitTermination()
+        _STREAMED[key] = root
+    return _STREAMED[key]
 
 
 @query("stream_ingest", sql_with("SELECT * FROM m", "m"))
 def stream_ingest(spark, sf):
-    path, checkpoint = _paths(spark, "stream-ingest")
-    jobs.stream_ingest(_feed(spark, sf), path, checkpoint, AS_OF).awaitTermination()
+    """Each batch by itself; every reading is sent once."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "stream-ingest")
+    _land(_texts(measurements(spark, sf)), landing)
+    checkpoint = scratch_path(spark, "checkpoint")
+    jobs.stream_ingest(_stream(spark, landing), path, checkpoint, lambda: AS_OF).awaitTermination()
     return spark.read.parquet(path).select(*MEASUREMENT_COLUMNS)
 
 
-@query("stream_dedupe", sql_with("SELECT * FROM m", "m"))
+@query("stream_dedupe", sql_sent("SELECT * FROM m"))
 def stream_dedupe(spark, sf):
-    """Every reading is sent twice."""
-    path, checkpoint = _paths(spark, "stream-dedupe")
-    jobs.stream_dedupe(
-        _feed(spark, sf, copies=2), path, checkpoint, AS_OF, delay="40 days"
-    ).awaitTermination()
-    return spark.read.parquet(path)
+    return jobs.read_facts(spark, _published(spark, sf)).select(*MEASUREMENT_COLUMNS)
 
 
-@query("stream_hourly", sql_with("SELECT * FROM h", "h"))
+@query("stream_hourly", sql_sent("SELECT * FROM h", "h"))
 def stream_hourly(spark, sf):
-    path, checkpoint = _paths(spark, "stream-hourly")
-    jobs.stream_rollup(_feed(spark, sf), path, checkpoint, AS_OF, "1 hour").awaitTermination()
-    return jobs.read_rollup(spark, path, "hour")
+    return jobs.read_rollup(spark, _published(spark, sf), "hour")
 
 
-@query("stream_daily", sql_with("SELECT * FROM d", "d"))
+@query("stream_daily", sql_sent("SELECT * FROM d", "d"))
 def stream_daily(spark, sf):
-    path, checkpoint = _paths(spark, "stream-daily")
-    jobs.stream_rollup(_feed(spark, sf), path, checkpoint, AS_OF, "1 day").awaitTermination()
-    return jobs.read_rollup(spark, path, "day")
+    return jobs.read_rollup(spark, _published(spark, sf), "day")
 
 
 @query(
     "stream_latest",
-    sql_with(
+    sql_sent(
         "SELECT DISTINCT ON (device_urn) device_urn, device_sn, loc_country, loc_name, loc_lat,"
         " loc_lon, lnd_7318u AS radiation, when_captured AS last_reading FROM m"
-        " ORDER BY device_urn, when_captured DESC",
-        "m",
+        " ORDER BY device_urn, when_captured DESC"
     ),
 )
 def stream_latest(spark, sf):
-    path, checkpoint = _paths(spark, "stream-latest")
-    jobs.stream_latest(_feed(spark, sf), path, checkpoint, AS_OF).awaitTermination()
-    return jobs.read_latest(spark, path)
+    return jobs.read_latest(spark, _published(spark, sf))
 
 
-@query("stream_upsert_publish", sql_with("SELECT * FROM h", "h"))
+@query("stream_upsert_publish", sql_sent("SELECT * FROM h", "h"))
 def stream_upsert_publish(spark, sf):
-    """The published hourly rollup after all batches, each reading sent twice."""
-    root, checkpoint = _paths(spark, "stream-publish")
-    feed = _feed(spark, sf, copies=2)
-    jobs.stream_publish(feed, root, checkpoint, lambda: AS_OF).awaitTermination()
-    return TelemetryTables(spark, root).hourly()
+    """The published hourly rollup, by way of the tables."""
+    return TelemetryTables(spark, _published(spark, sf)).hourly()
 
 
-@query("stream_publish_facts", sql_with("SELECT * FROM m", "m"))
+@query("stream_publish_facts", sql_sent("SELECT * FROM m"))
 def stream_publish_facts(spark, sf):
-    """The published facts after all batches, each reading sent twice."""
-    root, checkpoint = _paths(spark, "stream-facts")
-    feed = _feed(spark, sf, copies=2)
-    jobs.stream_publish(feed, root, checkpoint, lambda: AS_OF).awaitTermination()
-    return TelemetryTables(spark, root).facts().select(*MEASUREMENT_COLUMNS)
+    """The published facts, by way of the tables."""
+    return TelemetryTables(spark, _published(spark, sf)).facts().select(*MEASUREMENT_COLUMNS)
+
+
+@query(
+    "stream_quarantine",
+    "SELECT TIMESTAMP '2080-01-09 00:00:00' AS when_captured, CAST(1 AS BIGINT) AS rows"
+    " UNION ALL SELECT NULL, 1",
+)
+def stream_quarantine(spark, sf):
+    """What the stream set aside: the reading from the future, and the one without a device."""
+    aside = TelemetryTables(spark, _published(spark, sf)).quarantine()
+    when = F.when(F.col("device").isNotNull(), F.col(TIME)).alias(TIME)
+    return aside.groupBy(when).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "stream_after_load",
+    sql_with("SELECT *, (SELECT CAST(SUM(reading_count) AS BIGINT) FROM d) AS rolled_up FROM m", "m", "d"),
+)
+def stream_after_load(spark, sf):
+    """A batch load, then a stream on the same tables whose feed overlaps it."""
+    root, checkpoint = scratch_path(spark, "after-load"), scratch_path(spark, "checkpoint")
+    landing = scratch_path(spark, "landing")
+    lake = TelemetryTables(spark, root)
+    facts = measurements(spark, sf)
+    held = facts.filter(F.col(TIME) < moment(HELD_UNTIL))
+    lake.load(_texts(held).withColumn("pos", F.lit(0)), 7, AS_OF)
+    _land(_texts(facts.filter(F.col(TIME) >= moment(FEED_FROM))), landing)
+    jobs.stream_publish(_stream(spark, landing), root, checkpoint, lambda: AS_OF).awaitTermination()
+    rolled_up = lake.daily().agg(F.sum("reading_count")).scalar()
+    return lake.facts().select(*MEASUREMENT_COLUMNS, rolled_up.alias("rolled_up"))

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.tables import row_counts
 
-# Catalog entries of a column.
-STATISTICS = ("col_name", "num_nulls", "min", "max", "distinct_count", "avg_col_len", "max_col_len")
-
 
 def scan_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(path)
@@ -51,19 +48,13 @@ def ensure_tables(
     return True
 
 
-def table_statistics(spark: SparkSession, table: str) -> DataFrame:
-    """Run ANALYZE on a table; one row per column with what the catalog now knows.
-
-    Only catalog entries pass through the driver, a few per column.
-    """
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    known: dict[str, list] = {name: [] for name in STATISTICS}
-    for column in spark.table(table).columns:
-        described = spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()
-        facts = {row.info_name: row.info_value for row in described}
-        known["col_name"].append(column)
-        for name in STATISTICS[1:]:
-            value = facts.get(name)
-            known[name].append(None if value in (None, "NULL") else value)
-    text = {name: pa.array(values, pa.string()) for name, values in known.items()}
-    return spark.createDataFrame(pa.table(text))
+def column_statistics(df: DataFrame, ranged: Sequence[str]) -> DataFrame:
+    """One row per column: its nulls and, for the ``ranged`` ones, its extremes, by one aggregation."""
+    whole = []
+    for name in df.columns:
+        low, high = (f(name).cast("string") if name in ranged else F.lit(None).cast("string") for f in (F.min, F.max))
+        nulls = F.count_if(F.col(name).isNull()).cast("string")
+        whole.append(
+            F.struct(F.lit(name).alias("col_name"), nulls.alias("num_nulls"), low.alias("min"), high.alias("max"))
+        )
+    return df.agg(F.array(*whole).alias("columns")).select(F.inline("columns"))

@@ -1,35 +1,46 @@
 """Structured Streaming jobs. A landed feed file is the unit of arrival.
 
-Each job takes a checkpoint folder and can be stopped, killed and started
-again: file sinks are exactly-once, and every ``foreachBatch`` below writes
-under its batch's own number, so a repeated batch replaces what it wrote.
+Every job brings each micro-batch into published tables. What a batch adds is
+decided against all facts held, not against a window of state: a reading that
+comes again is no new fact, a late one changes its own hour and day however
+old it is, and one without a device or from the future is set aside and
+counted, so that no clock error can hold up later rows. Facts are compared
+only with those of the same calendar days, which bounds the work of a batch by
+what it touches.
 
-Watermarks need instants, so the zone-less capture time is counted from the
-epoch while it is in a stream and turned back at the sink. Neither step depends
-on the session's zone.
+Each job takes a checkpoint folder and can be stopped, killed and started
+again. A batch is named by the stream that sent it and by its number there, so
+that it is brought in once, and several streams and batch loads can share the
+tables one after another.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timebuckets import from_instant, to_instant
-from ..operators.dedupe import newest_per_key
-from ..operators.filters import TIME
-from ..operators.latest import LATEST_COLUMNS
-from ..operators.rollups import STATE, bucket_state, summary
-from ..plans.ingest import clean_feed, enforce_schema, ingest, valid_time
-from ..schema import FACT_KEY, FEED, MEASUREMENT_COLUMNS, ROLLUP_KEYS
+from ..plans.ingest import ingest
+from ..schema import FEED
 from ..tables.lake import TelemetryTables
 
-INSTANT = "captured_at"
 EXACT = "batch_id"
+PLACE = "_place"
+
+# The time that stands in for a missing one: fixed, or asked for each batch.
+Clock = Callable[[], datetime] | datetime
+
+
+def _place() -> F.Column:
+    """Where an object stands among the files, older files first."""
+    parts = ("file_modification_time", "file_path", "file_block_start")
+    return F.struct(*(F.col(f"_metadata.{name}") for name in parts))
 
 
 def read_feed(
@@ -38,25 +49,36 @@ def read_feed(
     schema: T.StructType = FEED,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """The landing folder as a stream of feed objects."""
+    """The landing folder as a stream of feed objects and their places."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return reader.json(path).withColumn(PLACE, _place())
 
 
-def typed_stream(feed: DataFrame, batch_time: datetime) -> DataFrame:
-    """Cleaned, typed rows with a valid time; no state."""
-    return valid_time(enforce_schema(clean_feed(feed, batch_time)))
+def positioned(batch: DataFrame) -> DataFrame:
+    """A feed with its objects' places: file by file by age, then line by line."""
+    line = F.monotonically_increasing_id().alias("line")
+    if PLACE in batch.columns:
+        return batch.withColumn("pos", F.struct(PLACE, line)).drop(PLACE)
+    try:
+        return batch.withColumn("pos", F.struct(_place().alias(PLACE), line))
+    except AnalysisException:  # not read from files
+        return batch.withColumn("pos", line)
 
 
-def positioned(batch: DataFrame) -> DataFrame:
-    """A batch with its objects' place: file by file, line by line."""
-    return batch.withColumn("pos", F.monotonically_increasing_id())
+def now(clock: Clock) -> datetime:
+    return clock() if callable(clock) else clock
 
 
-def _as_instant(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(INSTANT, to_instant(F.col(TIME)))
+def source_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that a checkpoint folder belongs to.
+
+    Spark gives a stream its id when the folder is new, so one that starts
+    over, with batch numbers from 0, is another source.
+    """
+    written = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return f"stream:{json.loads(written)['id']}"
 
 
 def _start(writer, checkpoint: str, continuous: str | None) -> StreamingQuery:
@@ -66,132 +88,54 @@ def _start(writer, checkpoint: str, continuous: str | None) -> StreamingQuery:
     return writer.trigger(availableNow=True).start()
 
 
-def _logged(path: str) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps each batch's rows under the batch's number."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{EXACT}={batch_id}")
-
-    return write
-
-
-def read_log(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row of every key in a log of updates."""
-    log = spark.read.parquet(path)
-    return newest_per_key(log, list(keys), [EXACT]).drop(EXACT)
-
-
 def stream_ingest(
     feed: DataFrame,
     path: str,
     checkpoint: str,
-    batch_time: datetime,
+    clock: Clock,
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Dedupe, clean and type each batch by itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = ingest(positioned(batch), batch_time).drop("pos")
+        rows = ingest(positioned(batch), now(clock)).drop("pos")
         rows.write.mode("overwrite").parquet(f"{path}/{EXACT}={batch_id}")
 
     return _start(feed.writeStream.foreachBatch(write), checkpoint, continuous)
 
 
-def stream_dedupe(
-    feed: DataFrame,
-    path: str,
-    checkpoint: str,
-    batch_time: datetime,
-    delay: str = "7 days",
-    continuous: str | None = None,
-) -> StreamingQuery:
-    """One row per reading, with state bounded by ``delay``.
-
-    Copies that arrive within the delay are dropped. The exact variant, which
-    compares with all facts, is ``stream_publish``.
-    """
-    rows = (
-        _as_instant(typed_stream(feed, batch_time))
-        .withWatermark(INSTANT, delay)
-        .dropDuplicatesWithinWatermark(list(FACT_KEY))
-        .select(*MEASUREMENT_COLUMNS)
-    )
-    writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
-    return _start(writer, checkpoint, continuous)
-
-
-def stream_rollup(
+def stream_publish(
     feed: DataFrame,
-    path: str,
+    root: str,
     checkpoint: str,
-    batch_time: datetime,
-    width: str,
-    delay: str = "30 days",
+    clock: Clock,
     continuous: str | None = None,
 ) -> StreamingQuery:
-    """Tumbling rollup: each batch logs the buckets it changed.
+    """Load every batch into the tables under ``root`` and publish the result.
 
-    Rows later than ``delay`` are dropped, and the state of older buckets goes
-    with them.
+    Deduplicated facts, hourly and daily rollups, newest readings and what was
+    set aside are then all read from ``TelemetryTables``.
     """
-    rows = _as_instant(typed_stream(feed, batch_time)).withWatermark(INSTANT, delay)
-    state = bucket_state(rows, F.window(INSTANT, width), "window")
-    changed = state.select(F.col("window.start").alias("bucket"), *ROLLUP_KEYS, *STATE)
-    writer = changed.writeStream.outputMode("update").foreachBatch(_logged(path))
-    return _start(writer, checkpoint, continuous)
-
-
-def read_rollup(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """The rollup a ``stream_rollup`` log amounts to; ``name`` is hour or day."""
-    state = read_log(spark, path, ["bucket", *ROLLUP_KEYS])
-    bucket = from_instant(F.col("bucket"))
-    if name == "day":
-        bucket = bucket.cast("date")
-    return summary(state.withColumn(name, bucket), name)
-
-
-def stream_latest(
-    feed: DataFrame,
-    path: str,
-    checkpoint: str,
-    batch_time: datetime,
-    continuous: str | None = None,
-) -> StreamingQuery:
-    """Newest reading per device: each batch logs the devices it changed.
+    tables = TelemetryTables(feed.sparkSession, root)
 
-    The state is one row per device.
-    """
-    rows = typed_stream(feed, batch_time).select(
-        *LATEST_COLUMNS, F.col("lnd_7318u").alias("radiation"), F.col(TIME).alias("last_reading")
-    )
-    rest = [name for name in rows.columns if name != "device_urn"]
-    order = ["last_reading", *[name for name in rest if name != "last_reading"]]
-    newest = rows.groupBy("device_urn").agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("row")
-    )
-    changed = newest.select("device_urn", "row.*")
-    writer = changed.writeStream.outputMode("update").foreachBatch(_logged(path))
-    return _start(writer, checkpoint, continuous)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        source = source_of(batch.sparkSession, checkpoint)
+        tables.load(positioned(batch), batch_id, now(clock), source=source)
 
+    return _start(feed.writeStream.foreachBatch(load), checkpoint, continuous)
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    return read_log(spark, path, ["device_urn"])
 
+def read_facts(spark: SparkSession, root: str) -> DataFrame:
+    """One row per reading of all batches so far."""
+    return TelemetryTables(spark, root).facts()
 
-def stream_publish(
-    feed: DataFrame,
-    root: str,
-    checkpoint: str,
-    as_of: Callable[[], datetime],
-    continuous: str | None = None,
-) -> StreamingQuery:
-    """Load every batch into the tables and publish it as a version.
 
-    Batch n is version n + 1; loading a published version again does nothing.
-    """
-    tables = TelemetryTables(feed.sparkSession, root)
+def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rollup of the facts so far; ``name`` is hour or day."""
+    tables = TelemetryTables(spark, root)
+    return tables.daily() if name == "day" else tables.hourly()
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        tables.load(positioned(batch), batch_id + 1, as_of())
 
-    return _start(feed.writeStream.foreachBatch(load), checkpoint, continuous)
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest reading of each device so far."""
+    return TelemetryTables(spark, root).latest()

@@ -6,14 +6,18 @@ Layout under one root folder::
     hourly_summary/day=D/version=N/ hourly state of one day as of load N
     daily_summary/day=D/version=N/  daily state of one day as of load N
     quarantine/load=N/              rows without a key, or from the future
+    attempts/load=N/                load N was begun
     sync_state/version=N/           the watermark and the number of facts
+    loads/version=N/                batches brought in, loads that died
     manifest/version=N/             which version of which day is current
 
-A load appends its new facts, recomputes the days they fall on, and then
-writes its manifest. Readers resolve the newest manifest, so they see a load
-wholly or not at all, and only touched days are ever rewritten. Repeating a
-load appends nothing twice: facts are matched by key, rollup days of the same
-version are replaced.
+A load appends its new facts, merges their state into that of the days they
+fall on, and then writes its manifest. Readers resolve the newest manifest, so
+they see a load wholly or not at all, and only touched days are ever
+rewritten. The table numbers its loads itself. Each batch is named by its
+source and its number there, and a batch that was published is not brought in
+again. A load that dies leaves facts that no reader and no later load sees;
+its number is not used again.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from ..functions.timebuckets import EPOCH, day_of, hour_of, moment
 from ..operators.dedupe import insert_or_ignore, split_keyed
 from ..operators.filters import TIME, last
 from ..operators.latest import latest_by_device
-from ..operators.rollups import STATE, bucket_state, daily_from_hourly, summary
+from ..operators.rollups import STATE, bucket_state, daily_from_hourly, merge_state, summary
 from ..operators.tables import empty_relation
 from ..plans.ingest import ingest
 from ..schema import MEASUREMENT_COLUMNS, MEASUREMENTS, ROLLUP_KEYS
@@ -57,7 +61,14 @@ _SYNC = T.StructType(
         T.StructField("total_rows", T.LongType()),
     ]
 )
-# How the columns of the two small tables above are built on the driver.
+_LOADS = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("number", T.LongType()),
+    ]
+)
+# How the columns of the small tables above are built on the driver.
 _ARROW = {
     "string": pa.string(),
     "date": pa.date32(),
@@ -94,13 +105,8 @@ class TelemetryTables:
 
     def versions(self) -> list[int]:
         """Published versions, oldest first. A manifest counts once committed."""
-        folder = f"{self.root}/manifest"
-        return sorted(
-            int(name.split("=")[1])
-            for name in storage.children(self.spark, folder)
-            if name.startswith("version=")
-            and storage.exists(self.spark, f"{folder}/{name}/_SUCCESS")
-        )
+        names = storage.committed(self.spark, f"{self.root}/manifest")
+        return sorted(int(name.split("=")[1]) for name in names)
 
     def current(self) -> int | None:
         published = self.versions()
@@ -164,10 +170,38 @@ class TelemetryTables:
             raise ValueError(f"nothing is published under {self.root}")
         return found
 
-    def _fact_files(self, version: int | None, *, published: bool = True) -> DataFrame:
-        found = self._resolve(version) if published else None
-        files = self.spark.read.schema(_FACT_FILES).parquet(f"{self.root}/{FACTS}")
-        return files.filter(F.col("load") <= found) if published else files
+    def _files(self) -> DataFrame:
+        return self.spark.read.schema(_FACT_FILES).parquet(f"{self.root}/{FACTS}")
+
+    def _fact_files(self, version: int | None) -> DataFrame:
+        """Facts of the published loads up to a version."""
+        found = self._resolve(version)
+        dead = sorted(self._loads(found)[1])
+        files = self._files().filter(F.col("load") <= found)
+        return files.filter(~F.col("load").isin(dead)) if dead else files
+
+    def _loads(self, version: int | None) -> tuple[dict[str, int], set[int]]:
+        """The newest batch of each source, and the loads that died, as of a version."""
+        if version is None:
+            return {}, set()
+        path = f"{self.root}/loads/version={version}"
+        rows = self.spark.read.schema(_LOADS).parquet(path).collect()
+        batches = {r.source: r.number for r in rows if r.kind == "batch"}
+        return batches, {r.number for r in rows if r.kind == "dead"}
+
+    def _begun(self) -> set[int]:
+        names = storage.children(self.spark, f"{self.root}/attempts")
+        return {int(name.split("=")[1]) for name in names}
+
+    def _begin(self, held: int | None) -> tuple[int, set[int]]:
+        """The number of a new load, and the loads before it that were never published."""
+        begun = self._begun()
+        died = {n for n in begun if n > (held or 0)}
+        version = max([held or 0, *begun]) + 1
+        storage.make(self.spark, f"{self.root}/attempts/load={version}")
+        for n in begun - died:
+            storage.delete(self.spark, f"{self.root}/attempts/load={n}")
+        return version, died
 
     def _manifest(self, version: int | None) -> dict[tuple[str, date], int]:
         """Current version of each table's days: a few entries per calendar day."""
@@ -207,20 +241,25 @@ class TelemetryTables:
     def load(
         self,
         feed: DataFrame,
-        version: int,
+        batch: int,
         as_of: datetime,
         batch_time: datetime | None = None,
         position: str = "pos",
+        source: str = "feed",
     ) -> dict:
-        """Bring in one feed and publish the result as ``version``.
+        """Bring in one feed, the ``batch`` of its ``source``, and publish the result.
 
-        Returns the load's row counts and watermarks. Loading a version that
-        is already published changes nothing.
+        The batches of a source come in order. One that is not after the newest
+        published one of the same source changes nothing, so a feed may be sent
+        again; other sources count for themselves. Returns the load's row counts
+        and watermarks, and the version it became.
         """
         held_version = self.current()
-        if held_version is not None and version <= held_version:
+        batches, dead = self._loads(held_version)
+        if source in batches and batch <= batches[source]:
             return {"version": held_version, "new": 0, "skipped": True}
 
+        version, died = self._begin(held_version)
         fetched = Observation("fetched")
         counted = feed.observe(fetched, F.count(F.lit(1)).alias("rows"))
         rows = ingest(counted, batch_time or as_of, position)
@@ -233,23 +272,20 @@ class TelemetryTables:
             f"{self.root}/quarantine/load={version}"
         )
         set_aside = self.spark.read.parquet(f"{self.root}/quarantine/load={version}").count()
-        self._append(fit, days, version, position)
-        self.refresh(days, version)
-
-        added = (
-            self._fact_files(None, published=False)
-            .filter(F.col("day").isin(days) & (F.col("load") == version))
-            .agg(
-                F.count(F.lit(1)).alias("new"),
-                F.max(F.when(F.col(TIME) <= moment(as_of), F.col(TIME))).alias("newest"),
-            )
-            .first()
-        )
+        self._append(fit, days, version, held_version, position)
+        own = self._files().filter(F.col("day").isin(days) & (F.col("load") == version))
+        self._merge(own, days, version, held_version)
+
+        added = own.agg(
+            F.count(F.lit(1)).alias("new"),
+            F.max(F.when(F.col(TIME) <= moment(as_of), F.col(TIME))).alias("newest"),
+        ).first()
         before = self.sync_state(held_version).first() if held_version is not None else None
         old_mark = before.last_sync_timestamp if before else datetime.fromisoformat(EPOCH)
         new_mark = max(old_mark, added.newest or old_mark)
         total = (before.total_rows if before else 0) + added.new
-        self._publish(version, held_version, days, new_mark, total)
+        loads = {**batches, source: batch}, dead | died
+        self._publish(version, held_version, days, new_mark, total, loads)
         storage.delete(self.spark, staging)
         return {
             "version": version,
@@ -267,10 +303,12 @@ class TelemetryTables:
         """Calendar days of some rows, to prune partitions with literals."""
         return sorted(r.day for r in rows.select("day").distinct().collect())
 
-    def _append(self, fit: DataFrame, days: list[date], version: int, position: str) -> None:
+    def _append(
+        self, fit: DataFrame, days: list[date], version: int, held_version: int | None, position: str
+    ) -> None:
         path = f"{self.root}/{FACTS}"
-        if storage.exists(self.spark, path):
-            held = self._fact_files(None, published=False).filter(F.col("day").isin(days))
+        if held_version is not None:
+            held = self._fact_files(held_version).filter(F.col("day").isin(days))
         else:
             held = empty_relation(self.spark, _FACT_FILES)
         new = insert_or_ignore(fit, held, [position])
@@ -283,18 +321,42 @@ class TelemetryTables:
             .parquet(path)
         )
 
-    def refresh(self, days: list[date] | None, version: int) -> list[date]:
-        """Recompute the rollups of some days, or of all, as ``version``.
+    def _merge(
+        self, new: DataFrame, days: list[date], version: int, held_version: int | None
+    ) -> None:
+        """Merge the state of new facts into that of their days, as ``version``.
+
+        Only the new facts and the held state of those days are read.
+        """
+        entries = self._manifest(held_version)
+
+        def held(table: str, columns: list[str]) -> DataFrame:
+            known = [(day, entries[table, day]) for day in days if (table, day) in entries]
+            return self._state_days(table, known).select(columns)
+
+        hours = bucket_state(new, hour_of(TIME), "hour")
+        both = hours.unionByName(held(HOURLY, hours.columns))
+        merged = merge_state(both, F.col("hour"), "hour").withColumn("day", day_of("hour"))
+        self._write_state(HOURLY, merged, version)
+        daily = daily_from_hourly(hours)
+        both = daily.unionByName(held(DAILY, daily.columns))
+        self._write_state(DAILY, merge_state(both, F.col("day"), "day"), version)
+
+    def refresh(self, version: int, held_version: int) -> list[date]:
+        """Recompute all rollups from the published facts, as ``version``.
 
         The facts are read once; daily state comes from the hourly state.
         """
-        facts = self._fact_files(None, published=False).filter(F.col("load") <= version)
-        if days is not None:
-            facts = facts.filter(F.col("day").isin(days))
+        facts = self._fact_files(held_version)
         hourly = bucket_state(facts, hour_of(TIME), "hour").withColumn("day", day_of("hour"))
         self._write_state(HOURLY, hourly, version)
-        if days is None:
-            days = self._days(facts)
+        written = storage.children(self.spark, f"{self.root}/{HOURLY}")
+        days = [
+            date.fromisoformat(name.split("=")[1])
+            for name in written
+            if name.startswith("day=")
+            and storage.exists(self.spark, f"{self.root}/{HOURLY}/{name}/version={version}")
+        ]
         fresh = self._state_days(HOURLY, [(day, version) for day in days])
         self._write_state(DAILY, daily_from_hourly(fresh), version)
         return days
@@ -309,31 +371,52 @@ class TelemetryTables:
             .parquet(f"{self.root}/{table}")
         )
 
+    def _unused(self, version: int) -> tuple[int, tuple[dict[str, int], set[int]]]:
+        """The published version and its loads, if ``version`` is a number not used yet."""
+        held, begun = self._resolve(None), self._begun()
+        if version <= max([held, *begun]):
+            raise ValueError(f"version {version} is used already; {held} is published")
+        batches, dead = self._loads(held)
+        return held, (batches, dead | {n for n in begun if n > held})
+
     def rebuild(self, version: int, as_of: datetime) -> None:
         """Recompute all rollups from all facts and publish them."""
-        held = self.current()
-        days = self.refresh(None, version)
+        held, loads = self._unused(version)
+        days = self.refresh(version, held)
         state = self.sync_state(held).first()
-        self._publish(version, held, days, state.last_sync_timestamp, state.total_rows)
+        self._publish(version, held, days, state.last_sync_timestamp, state.total_rows, loads)
 
     def _publish(
-        self, version: int, previous: int | None, days: list[date], mark: datetime, total: int
+        self,
+        version: int,
+        previous: int | None,
+        days: list[date],
+        mark: datetime,
+        total: int,
+        loads: tuple[dict[str, int], set[int]],
     ) -> None:
         """Write the watermark, then the manifest that makes the version visible."""
         entries = self._manifest(previous)
         entries.update({(table, day): version for table in (HOURLY, DAILY) for day in days})
-        self._write_manifest(version, entries, mark, total)
+        self._write_manifest(version, entries, mark, total, loads)
 
     def _write_manifest(
-        self, version: int, entries: dict[tuple[str, date], int], mark: datetime, total: int
+        self,
+        version: int,
+        entries: dict[tuple[str, date], int],
+        mark: datetime,
+        total: int,
+        loads: tuple[dict[str, int], set[int]],
     ) -> None:
         sync = {"table_name": [FACTS], "last_sync_timestamp": [mark], "total_rows": [total]}
+        batches, dead = loads
+        known = [("batch", source, n) for source, n in sorted(batches.items())]
+        known += [("dead", "", n) for n in sorted(dead)]
         rows = [(table, day, v) for (table, day), v in sorted(entries.items())]
-        columns = zip(*rows) if rows else ((), (), ())
-        manifest = dict(zip(_MANIFEST.names, columns))
         for folder, schema, data in (
             ("sync_state", _SYNC, sync),
-            ("manifest", _MANIFEST, manifest),
+            ("loads", _LOADS, dict(zip(_LOADS.names, zip(*known) if known else ((), (), ())))),
+            ("manifest", _MANIFEST, dict(zip(_MANIFEST.names, zip(*rows) if rows else ((), (), ())))),
         ):
             arrays = {
                 f.name: pa.array(data[f.name], _ARROW[f.dataType.simpleString()])
@@ -355,6 +438,7 @@ class TelemetryTables:
         for version in dropped:
             storage.delete(self.spark, f"{self.root}/manifest/version={version}")
             storage.delete(self.spark, f"{self.root}/sync_state/version={version}")
+            storage.delete(self.spark, f"{self.root}/loads/version={version}")
         for (table, day), version in stale:
             storage.delete(
                 self.spark, f"{self.root}/{table}/day={day.isoformat()}/version={version}"
@@ -365,20 +449,26 @@ class TelemetryTables:
         """Retention: publish a version without the days before ``day``.
 
         Whole partitions go; facts of the remaining days are not rewritten.
+        Only the new version is whole afterwards: the dropped facts are gone
+        from older ones too, which are therefore expired.
         """
-        held = self._resolve(None)
+        held, loads = self._unused(version)
         entries = {key: v for key, v in self._manifest(held).items() if key[1] >= day}
         state = self.sync_state(held).first()
         left = self._fact_files(held).filter(F.col("day") >= F.lit(day)).count()
-        self._write_manifest(version, entries, state.last_sync_timestamp, left)
+        self._write_manifest(version, entries, state.last_sync_timestamp, left, loads)
+        self.expire(keep=1)
         for name in storage.children(self.spark, f"{self.root}/{FACTS}"):
             if name.startswith("day=") and date.fromisoformat(name.split("=")[1]) < day:
                 storage.delete(self.spark, f"{self.root}/{FACTS}/{name}")
 
     def compact(self, days: list[date]) -> None:
-        """Rewrite closed days as few files ordered by device and time."""
+        """Rewrite closed days as few files ordered by device and time.
+
+        Facts of loads that died go. Run it while nothing reads those days.
+        """
         order = ["day", "device_urn", TIME]
-        rows = self._fact_files(None, published=False).filter(F.col("day").isin(days))
+        rows = self._fact_files(None).filter(F.col("day").isin(days))
         (
             materialise(rows, "compacted")
             .repartitionByRange(*order)

@@ -25,3 +25,16 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     fs, location = _path(spark, path)
     fs.delete(location, True)
+
+
+def make(spark: SparkSession, path: str) -> None:
+    """A folder that stands for a fact."""
+    fs, location = _path(spark, path)
+    fs.mkdirs(location)
+
+
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """Folders in ``path`` whose writer has finished, by one listing."""
+    fs, location = _path(spark, f"{path}/*/_SUCCESS")
+    found = fs.globStatus(location) or []
+    return sorted(status.getPath().getParent().getName() for status in found)

@@ -4,27 +4,20 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-import pytest
+from sensorspan.config import CHECKPOINT_CONF, WAREHOUSE_CONF, materialise, shared_dir
 
-from sensorspan.config import materialise, shared_dir
 
-
-def _session(master: str, folder: str | None):
-    conf = SimpleNamespace(get=lambda key, default=None: folder)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def _session(**conf):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: conf.get(key, *default)))
 
 
 def test_the_named_folder_is_used():
-    assert shared_dir(_session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-
-
-def test_a_cluster_gets_no_local_folder():
-    with pytest.raises(ValueError, match="shared by all executors"):
-        shared_dir(_session("yarn", None))
+    named = {CHECKPOINT_CONF: "hdfs:///shared/", WAREHOUSE_CONF: "hdfs:///warehouse"}
+    assert shared_dir(_session(**named)) == "hdfs:///shared"
 
 
-def test_local_runs_get_one_folder():
-    assert shared_dir(_session("local[2]", None)) == shared_dir(_session("local[2]", None))
+def test_a_session_without_one_uses_its_warehouse():
+    assert shared_dir(_session(**{WAREHOUSE_CONF: "hdfs:///warehouse"})) == "hdfs:///warehouse"
 
 
 def test_materialised_rows_are_the_same_and_read_from_files(spark):

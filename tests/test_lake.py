@@ -107,6 +107,51 @@ def test_a_load_that_dies_is_invisible_and_can_be_repeated(spark, lake, monkeypa
     agrees_with_full_rebuild(lake)
 
 
+def test_a_dead_load_stays_invisible_to_the_next(spark, lake, monkeypatch):
+    """The feed after a load that died is another one; facts, rollups and totals agree."""
+    with monkeypatch.context() as patch:
+        patch.setattr(TelemetryTables, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            lake.load(feed(spark, *SECOND), 2, AS_OF)
+    lake.load(feed(spark, at(6, 10)), 3, AS_OF)
+    total = lake.facts().count()
+    assert total == 5 == lake.sync_state().first().total_rows
+    assert lake.daily().agg(F.sum("reading_count")).first()[0] == total
+    agrees_with_full_rebuild(lake)
+    # What died is brought in when it comes again.
+    lake.load(feed(spark, *SECOND), 4, AS_OF)
+    assert lake.facts().count() == 8
+    agrees_with_full_rebuild(lake)
+    lake.compact([date(2024, 1, 5), date(2024, 1, 6)])
+    assert lake.facts().count() == 8
+
+
+def test_used_numbers_are_refused(spark, lake):
+    for call in (lambda: lake.rebuild(1, AS_OF), lambda: lake.drop_before(date(2024, 1, 5), 1)):
+        with pytest.raises(ValueError, match="used already"):
+            call()
+    with pytest.raises(ValueError, match="nothing is published"):
+        TelemetryTables(spark, lake.root + "-other").rebuild(1, AS_OF)
+
+
+def test_a_load_reads_only_new_facts_and_the_state_of_their_days(spark, lake, monkeypatch):
+    read = []
+    of = TelemetryTables._state_days
+    monkeypatch.setattr(TelemetryTables, "_state_days", lambda self, t, days: read.extend(days) or of(self, t, days))
+    monkeypatch.setattr(TelemetryTables, "refresh", None)
+    lake.load(feed(spark, at(5, 13)), 2, AS_OF)
+    assert {day for day, _ in read} == {date(2024, 1, 5)}
+    agrees_with_full_rebuild(lake)
+
+
+def test_the_first_by_raw_device_wins(spark, root):
+    """Two devices without a number share one key: the lesser raw name is the first, wherever it stands."""
+    lake = TelemetryTables(spark, root)
+    rows = [at(5, 10, device=None, device_urn="z:9"), at(5, 10, device=None, device_urn="a:1")]
+    lake.load(feed(spark, *rows), 1, AS_OF)
+    assert rows_of(lake.facts(), "device_urn") == [("a:1",)]
+
+
 def test_future_rows_do_not_move_the_watermark(spark, lake):
     soon = at(6, 20)  # after as_of, within a day: kept, but no watermark
     report = lake.load(feed(spark, {"when_captured": "2080-01-09T00:00:00Z"}, soon), 2, AS_OF)

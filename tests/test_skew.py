@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorspan.operators.dedupe import first_per_key, insert_or_ignore
-from sensorspan.operators.joins import device_radiation_stats, join_device_stats, salted_join
+from sensorspan.operators.joins import device_radiation_stats, join_device_stats
 from sensorspan.plans.panels import anomalies_zscore
 
 from .feeds import rows_of
@@ -24,27 +24,28 @@ def facts(spark):
     )
 
 
-def test_salted_join_equals_broadcast_join(facts):
-    stats = device_radiation_stats(facts)
-    few = join_device_stats(facts, stats)
-    many = join_device_stats(facts, stats, max_rows=0)
-    assert rows_of(few) == rows_of(many.select(few.columns))
-
-
-def test_salt_splits_the_hot_device(spark, facts):
-    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {key: spark.conf.get(key) for key in keys}
+def test_the_planner_splits_the_hot_device(spark, facts):
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in keys}
     for key, value in keys.items():
         spark.conf.set(key, value)
     try:
-        salted = salted_join(facts, device_radiation_stats(facts))
-        hot = salted.filter("device_urn = 'hot:1'").select(F.spark_partition_id().alias("p"))
-        sizes = [r["count"] for r in hot.groupBy("p").count().collect()]
+        spread = facts.repartition(8)
+        joined = join_device_stats(spread, device_radiation_stats(facts))
+        hot = joined.filter(F.col("lnd_7318u") >= 0).select("device_urn", F.spark_partition_id().alias("p"))
+        sizes = [r["count"] for r in hot.filter("device_urn like 'hot%'").groupBy("p").count().collect()]
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
-    assert sum(sizes) > 1900
-    assert max(sizes) < sum(sizes) / 3
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert sum(sizes) == 2000
+    assert max(sizes) <= sum(sizes) / 2
 
 
 def test_anomalies_against_brute_force(facts):

@@ -10,7 +10,7 @@ import pytest
 
 from sensorspan.operators.latest import latest_by_device
 from sensorspan.operators.rollups import daily_summary, hourly_summary
-from sensorspan.plans.ingest import clean_feed, enforce_schema, ingest, valid_time
+from sensorspan.plans.ingest import ingest
 from sensorspan.schema import MEASUREMENT_COLUMNS
 from sensorspan.streaming import jobs
 from sensorspan.tables.lake import TelemetryTables
@@ -43,10 +43,6 @@ def stream(spark, folder):
     return jobs.read_feed(spark, str(folder), files_per_batch=1)
 
 
-def all_rows(spark):
-    return ingest(feed(spark, *FIRST, *SECOND, *THIRD), AS_OF).drop("pos")
-
-
 def test_publish_equals_batch(spark, landing, tmp_path, root):
     jobs.stream_publish(
         stream(spark, landing), root, str(tmp_path / "cp"), lambda: AS_OF
@@ -90,54 +86,80 @@ def test_ingest_cleans_every_batch(spark, landing, tmp_path):
     assert got.select("batch_id").distinct().count() == 3
 
 
-@pytest.mark.parametrize(("width", "name"), [("1 hour", "hour"), ("1 day", "day")])
+def publish(spark, folder, tmp_path, root, clock=AS_OF):
+    jobs.stream_publish(stream(spark, folder), root, str(tmp_path / "cp"), clock).awaitTermination()
+    return TelemetryTables(spark, root)
+
+
+FUTURE = {"when_captured": "2080-01-09T00:00:00Z"}
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
-def test_rollup_equals_batch(spark, landing, tmp_path, width, name, zone):
-    out = str(tmp_path / "out")
+def test_repeats_the_future_and_lateness_lose_nothing(spark, tmp_path, root, zone):
+    """A reading of 2080 comes first; then all batches, then all again, the last one years late."""
+    folder = tmp_path / "landing"
+    old = {"when_captured": "2013-05-01T10:00:00Z"}
+    for n, objects in enumerate(([FUTURE], FIRST, SECOND, THIRD, FIRST, THIRD, [old])):
+        land(folder, n, objects)
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        jobs.stream_rollup(
-            stream(spark, landing), out, str(tmp_path / "cp"), AS_OF, width, delay="36500 days"
-        ).awaitTermination()
-        got = rows_of(jobs.read_rollup(spark, out, name))
+        lake = publish(spark, folder, tmp_path, root)
+        facts = jobs.read_facts(spark, root).select(*MEASUREMENT_COLUMNS)
+        hours, days = (jobs.read_rollup(spark, root, name) for name in ("hour", "day"))
+        once = once_each(spark, old)
+        assert rows_of(facts, "device", "when_captured") == rows_of(once, "device", "when_captured")
+        assert rows_of(hours) == rows_of(hourly_summary(facts, datetime(2013, 5, 20)))
+        assert rows_of(days) == rows_of(daily_summary(facts))
+        assert rows_of(jobs.read_latest(spark, root)) == rows_of(latest_by_device(facts))
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    rows = typed_once(spark)
-    want = daily_summary(rows) if name == "day" else hourly_summary(rows, datetime(2024, 1, 30))
-    assert got == rows_of(want)
+    # The future and the rows without a device are set aside each time they come, with a count.
+    aside = sum(o.get("device") == "abc" or o == FUTURE for o in [FUTURE, *FIRST, *SECOND, *THIRD, *FIRST, *THIRD])
+    assert lake.quarantine().count() == aside
+    assert days.agg({"reading_count": "sum"}).first()[0] == lake.sync_state().first().total_rows == facts.count()
 
 
-def typed_once(spark):
-    """All rows, repeats included, as the undeduplicated streams see them."""
-    return valid_time(enforce_schema(clean_feed(feed(spark, *FIRST, *SECOND, *THIRD), AS_OF)))
+def once_each(spark, *more):
+    """The distinct keys of all that can become a fact, batch by batch."""
+    rows = ingest(feed(spark, *FIRST), AS_OF)
+    for batch in (SECOND, THIRD, more):
+        rows = rows.unionByName(ingest(feed(spark, *batch), AS_OF))
+    fit = rows.where("device is not null and when_captured < timestamp_ntz'2030-01-01 00:00:00'")
+    return fit.select("device", "when_captured").distinct()
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
+def test_a_clock_for_each_batch(spark, tmp_path, root):
+    """Readings without a time are told apart by the batches they came in."""
     folder = tmp_path / "landing"
-    land(folder, 0, [at(20, 10)])
-    land(folder, 1, [at(20, 11)])
-    land(folder, 2, [at(4, 9)])
-    out = str(tmp_path / "out")
-    jobs.stream_rollup(
-        stream(spark, folder), out, str(tmp_path / "cp"), AS_OF, "1 hour", delay="7 days"
-    ).awaitTermination()
-    hours = [r[0].day for r in jobs.read_rollup(spark, out, "hour").select("hour").collect()]
-    assert sorted(hours) == [20, 20]
+    for n in range(2):
+        land(folder, n, [{"when_captured": ""}])
+    times = iter([datetime(2024, 1, 6, 12), datetime(2024, 1, 6, 13)])
+    lake = publish(spark, folder, tmp_path, root, lambda: next(times))
+    assert rows_of(lake.facts(), "when_captured") == [(datetime(2024, 1, 6, 12),), (datetime(2024, 1, 6, 13),)]
 
 
-def test_latest_equals_batch(spark, landing, tmp_path):
-    out = str(tmp_path / "out")
-    jobs.stream_latest(
-        stream(spark, landing), out, str(tmp_path / "cp"), AS_OF
-    ).awaitTermination()
-    assert rows_of(jobs.read_latest(spark, out)) == rows_of(latest_by_device(typed_once(spark)))
+def test_a_stream_after_a_load_and_another_stream(spark, landing, tmp_path, root):
+    """Batch numbers of different sources do not hide each other."""
+    lake = TelemetryTables(spark, root)
+    lake.load(feed(spark, at(1, 1)), 40, AS_OF)
+    publish(spark, landing, tmp_path / "first", root)
+    assert lake.facts().count() == 10
+    other = tmp_path / "other"
+    land(other, 0, [at(2, 2)])
+    publish(spark, other, tmp_path / "second", root)
+    assert lake.facts().count() == 11
+    assert lake.load(feed(spark, at(2, 3)), 40, AS_OF)["skipped"]
+    assert not lake.load(feed(spark, at(2, 3)), 41, AS_OF)["skipped"]
+    assert lake.facts().count() == 12
 
 
-def test_bounded_dedupe(spark, landing, tmp_path):
-    out = str(tmp_path / "out")
-    jobs.stream_dedupe(
-        stream(spark, landing), out, str(tmp_path / "cp"), AS_OF, delay="36500 days"
-    ).awaitTermination()
-    got = rows_of(spark.read.parquet(out), "device", "when_captured")
-    assert got == rows_of(typed_once(spark).select("device", "when_captured").distinct())
+def test_the_older_file_wins(spark, tmp_path, root):
+    """Files count by age, whatever their size."""
+    folder = tmp_path / "landing"
+    land(folder, 0, [at(5, 10, lnd_7318u="1.0")])
+    land(folder, 1, [at(5, 10, lnd_7318u="2.0"), *(at(5, 11, device=str(n)) for n in range(10, 400))])
+    rows = jobs.positioned(spark.read.schema(jobs.FEED).json(str(folder)))
+    TelemetryTables(spark, root).load(rows, 1, AS_OF)
+    kept = TelemetryTables(spark, root).facts().where("hour(when_captured) = 10")
+    assert rows_of(kept, "lnd_7318u") == [(1,)]
