@@ -217,6 +217,24 @@ def lake_latest(spark, sf):
     return _shared(spark, sf).latest()
 
 
+@query(
+    "sync_tables",
+    sql_with("SELECT *, (SELECT CAST(SUM(reading_count) AS BIGINT) FROM d) AS rolled_up FROM m", "m", "d"),
+)
+def sync_tables(spark, sf):
+    """Tables that held the first readings, brought up to another root's, late ones included."""
+    lake = TelemetryTables(spark, scratch_path(spark, "synced"))
+    early = measurements(spark, sf).filter(F.col(TIME) < moment(FEED_FROM))
+    texts = [F.col(c).cast("string").alias(c) for c in FEED_FIELDS]
+    lake.load(early.select(*texts, F.lit(0).alias("pos")), 1, AS_OF)
+    other = _shared(spark, sf)
+    lake.sync(other, AS_OF)
+    if not lake.sync(other, AS_OF)["skipped"]:
+        raise AssertionError("nothing is new the second time")
+    rolled_up = lake.daily().agg(F.sum("reading_count")).scalar()
+    return lake.facts().select(*MEASUREMENT_COLUMNS, rolled_up.alias("rolled_up"))
+
+
 RETAIN_FROM = date(2024, 1, 11)
 
 
@@ -343,6 +361,20 @@ def sink_per_device_json(spark, sf):
     return spark.read.schema(_with(MEASUREMENTS, "device_file")).json(path)
 
 
+@query(
+    "sink_per_device_update",
+    sql_with("SELECT *, replace(device_urn, ':', '_') AS device_file FROM m", "m"),
+)
+def sink_per_device_update(spark, sf):
+    """The same files after three exports on top of each other, two of which overlap."""
+    path = scratch_path(spark, "export-updated")
+    facts = measurements(spark, sf)
+    exports.update_per_device(facts.filter(F.col(TIME) < moment(HELD_UNTIL)), path)
+    for _ in range(2):
+        exports.update_per_device(facts.filter(F.col(TIME) >= moment(FEED_FROM)), path)
+    return exports.held_per_device(spark, path, _with(MEASUREMENTS, "device_file"))
+
+
 @query(
     "sink_sensor_feeds",
     sql_with(

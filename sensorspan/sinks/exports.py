@@ -6,13 +6,16 @@ from collections.abc import Iterator
 from datetime import datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casting import to_double
 from ..functions.cleaning import safe_name
 from ..operators.dedupe import merge_history
 from ..operators.filters import last
+from ..tables import storage
 
 # The sensor feeds' names and the column each one reads.
 SENSOR_FEEDS = (
@@ -41,28 +44,32 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of one JSON array from the JSON objects of a partition."""
+    """Lines of one JSON array from the JSON objects of a partition: `[` alone, each object
+    with a comma before it but the first, `]` alone."""
+    yield pa.RecordBatch.from_arrays([pa.array(["["])], ["value"])
     opened = False
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        lines = batch.column(0).to_pylist()
-        lines[1:] = ["," + line for line in lines[1:]]
-        lines[0] = ("," if opened else "[") + lines[0]
-        opened = True
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-    if opened:
-        yield pa.RecordBatch.from_arrays([pa.array(["]"], pa.string())], ["value"])
+        lines = batch.column(0).cast(pa.string())
+        if not opened and len(lines):
+            yield pa.RecordBatch.from_arrays([lines.slice(0, 1)], ["value"])
+            lines, opened = lines.slice(1), True
+        if len(lines):
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise("", lines, ",")], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
     """JSON arrays for readers that take no line-delimited files.
 
-    Every part file is one whole array of its partition's rows. Only the
-    brackets and commas are added in Python, batch by batch; no partition is
-    held in memory.
+    Every part file is one whole array of its partition's rows, `[` and `]` if
+    it has none; a result without partitions is written as one empty array. A
+    dashboard that takes a single array reads a single file, so a result
+    meant for it, a few panel rows, is coalesced by its caller. Only brackets
+    and commas are added in Python, batch by batch; no partition is held in memory.
     """
     objects = df.select(F.to_json(F.struct("*"), MICROS).alias("value"))
+    if objects.isEmpty():
+        objects = objects.sparkSession.range(1, numPartitions=1).select(F.lit("").alias("value")).where("value <> ''")
     objects.mapInArrow(_bracketed, "value string").write.mode("overwrite").text(path)
 
 
@@ -91,6 +98,30 @@ def per_device_history(held: DataFrame, incoming: DataFrame) -> DataFrame:
     return merge_history(held, known, order)
 
 
+def held_per_device(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """What the newest finished export under ``path`` holds; None before the first."""
+    found = sorted(int(name.split("=")[1]) for name in storage.committed(spark, path))
+    if not found:
+        return None
+    return spark.read.schema(schema).options(**MICROS).json(f"{path}/export={found[-1]}")
+
+
+def update_per_device(incoming: DataFrame, path: str) -> None:
+    """Add new readings to the exported files, again and again.
+
+    The files written last are read, merged with what is new, and written
+    beside them; the old ones go once the new ones are complete. An export that
+    dies leaves the old files as they were.
+    """
+    spark = incoming.sparkSession
+    before = [int(name.split("=")[1]) for name in storage.committed(spark, path)]
+    held = held_per_device(spark, path, incoming.schema)
+    rows = incoming.limit(0) if held is None else held.select(*incoming.columns)
+    write_per_device(per_device_history(rows, incoming), f"{path}/export={max(before, default=0) + 1}")
+    for n in before:
+        storage.delete(spark, f"{path}/export={n}")
+
+
 def sensor_feeds(df: DataFrame, as_of: datetime) -> DataFrame:
     """The last 24 hours, once per feed a row belongs to, in one pass.
 

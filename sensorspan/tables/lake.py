@@ -22,6 +22,7 @@ its number is not used again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 import pyarrow as pa
@@ -254,6 +255,33 @@ class TelemetryTables:
         again; other sources count for themselves. Returns the load's row counts
         and watermarks, and the version it became.
         """
+        def typed(rows: DataFrame) -> DataFrame:
+            return ingest(rows, batch_time or as_of, position)
+
+        return self._bring(feed, typed, batch, as_of, position, source)
+
+    def sync(self, other: TelemetryTables, as_of: datetime) -> dict:
+        """Bring in what another root's tables have published since the last time.
+
+        What is new there is known by its load, not by its time, so readings
+        that came late there come here too. Only those facts and the days they
+        touch are read; nothing new there changes nothing here.
+        """
+        source, newest = f"tables:{other.root}", other._resolve(None)
+        seen = self._loads(self.current())[0].get(source, 0)
+        rows = other._fact_files(newest).filter(F.col("load") > seen)
+        fresh = rows.select(*MEASUREMENT_COLUMNS, F.lit(0).alias("pos"))
+        return self._bring(fresh, lambda rows: rows, newest, as_of, "pos", source)
+
+    def _bring(
+        self,
+        feed: DataFrame,
+        typed: Callable[[DataFrame], DataFrame],
+        batch: int,
+        as_of: datetime,
+        position: str,
+        source: str,
+    ) -> dict:
         held_version = self.current()
         batches, dead = self._loads(held_version)
         if source in batches and batch <= batches[source]:
@@ -262,7 +290,7 @@ class TelemetryTables:
         version, died = self._begin(held_version)
         fetched = Observation("fetched")
         counted = feed.observe(fetched, F.count(F.lit(1)).alias("rows"))
-        rows = ingest(counted, batch_time or as_of, position)
+        rows = typed(counted)
         staging = f"{self.root}/staging/load={version}"
         rows.withColumn("day", day_of(TIME)).write.mode("overwrite").parquet(staging)
         fit, unfit = split_keyed(self.spark.read.parquet(staging), as_of)

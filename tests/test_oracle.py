@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from sensorspan.registry import QUERIES
 
 from .compare import difference, oracle
 
@@ -18,7 +19,7 @@ def con():
     return oracle(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, name, SF_DIR) is None
 

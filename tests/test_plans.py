@@ -6,8 +6,8 @@ from datetime import timedelta
 
 import pytest
 
-import __spark_entry__ as contract
 from sensorspan.operators.filters import time_filter
+from sensorspan.registry import QUERIES
 from sensorspan.registry.core import AS_OF, FROM, TO
 from sensorspan.sinks.layout import write_clustered
 from sensorspan.registry import core
@@ -24,10 +24,10 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    lazy = [n for n in contract.queries() if not n.startswith(("stream_", "sink_", "lake_"))]
-    skip = {"table_stats", "explain_query", "ensure_tables", "scan_snapshot", "publish_snapshot"}
+    lazy = [n for n in QUERIES if not n.startswith(("stream_", "sink_", "lake_"))]
+    skip = {"ensure_tables", "scan_snapshot", "publish_snapshot", "sync_tables"}
     skip |= {"expire_snapshots", "retention_partitions"}
-    return {n: plan(contract.queries()[n](spark, SF)) for n in lazy if n not in skip}
+    return {n: plan(QUERIES[n](spark, SF)) for n in lazy if n not in skip}
 
 
 def test_no_query_runs_python_or_a_cross_join(plans):
