@@ -189,6 +189,7 @@ def train(labelled: DataFrame) -> Model:
     frequency, documents = document_frequencies(rows.select("text"))
     idf = np.log((1.0 + documents) / (1.0 + frequency)) + 1.0
     placed = rows.withColumn("_row", F.monotonically_increasing_id())
+    # One row for each language; the model below holds a column of weights for each in memory anyway.
     share = placed.groupBy(F.col("lang").alias("_lang")).agg((F.lit(float(PER_LANGUAGE)) / F.count("*")).alias("_share"))
     sample = placed.join(F.broadcast(share), F.col("lang") == F.col("_lang")).where(drawn(F.col("_row"), F.col("_share")))
 

@@ -86,4 +86,72 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_mixing,
     )
 }
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _host(url: str) -> str:
+    return f"coalesce({_LOWER.format(f"regexp_extract({url}, '^.*?://([^/?#]*)', 1, 's')")}, '')"
+
+
+def _path(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '')"
+
+
+def _address(url: str) -> str:
+    part = lambda i: f"regexp_extract({url}, '^([^:/?#]*)://([^/?#]*)([^#]*)', {i}, 's')"
+    return (
+        f"CASE WHEN regexp_matches({url}, '^[^:/?#]*://') THEN {_LOWER.format(part(1))} || '://' ||"
+        f" {_LOWER.format(part(2))} || CASE WHEN {part(3)} = '' THEN '/' ELSE {part(3)} END END"
+    )
+
+
+# Rules, then the aliases of each page: redirects and canonical links in its html, followed to all that they reach.
+_URL_FILTERS = f"""
+WITH RECURSIVE rules(verdict, rule_host, rule_path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), tags AS (
+  SELECT url, regexp_extract(bare, '<link\\b[^>]*\\brel\\s*=\\s*["'']?\\s*canonical\\b[^>]*>', 0, 'is') AS link,
+    regexp_extract(bare, '<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b[^>]*>', 0, 'is') AS meta
+  FROM (SELECT url, regexp_replace(html, '<!--.*?(?:-->|$)', '', 'gs') AS bare FROM pages)
+), said AS (
+  SELECT url, trim(regexp_replace(link, '&amp;', '&', 'gi')) AS link FROM (
+    SELECT url, unnest([
+      regexp_extract(link, '\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 1, 'is')
+      || regexp_extract(link, '\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 2, 'is')
+      || regexp_extract(link, '\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 3, 'is'),
+      regexp_extract(meta, '\\burl\\s*=\\s*[''"]?\\s*([^''"\\s>]+)', 1, 'is')]) AS link
+    FROM tags)
+), targets AS (
+  SELECT url, CASE
+    WHEN regexp_matches(link, '^https?://', 'i') THEN link
+    WHEN starts_with(link, '//') THEN regexp_extract(url, '^([^:/?#]*)://', 1) || ':' || link
+    WHEN starts_with(link, '/') THEN regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1, 's') || link
+    WHEN starts_with(link, '?') THEN regexp_extract(url, '^([^?#]*)', 1, 's') || link
+    WHEN starts_with(link, '#') OR regexp_matches(link, '^[a-z][a-z0-9+.\\-]*:', 'i') THEN NULL
+    WHEN {_path("url")} = '' THEN regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1, 's') || '/' || link
+    ELSE regexp_extract(regexp_extract(url, '^([^?#]*)', 1, 's'), '^(.*/)', 1, 's') || link END AS target
+  FROM said WHERE link <> ''
+), edges AS (
+  SELECT {_address("url")} AS a, {_address("target")} AS b FROM targets
+), both_ways AS (
+  SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b
+), reached(node, other) AS (
+  SELECT a, a FROM both_ways UNION SELECT r.node, e.b FROM reached r JOIN both_ways e ON e.a = r.other
+), urls AS (
+  SELECT {_host("url")} AS host, {_path("url")} AS path FROM pages UNION SELECT {_host("other")}, {_path("other")} FROM reached
+), best AS (
+  SELECT host, path, arg_max(rule_host || rule_path, weight) AS rule, arg_max(verdict, weight) AS verdict
+  FROM (SELECT *, 2 * length(rule_host || rule_path) + CAST(verdict = 'allow' AS INT) AS weight FROM urls
+    JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+  GROUP BY host, path
+), aliases AS (
+  SELECT node, bool_or(verdict = 'allow') AS allowed, bool_or(verdict = 'block') AS blocked
+  FROM reached JOIN best ON host = {_host("other")} AND path = {_path("other")} GROUP BY node
+)
+SELECT page_id, p.host, p.path, best.rule,
+  coalesce(best.verdict, CASE WHEN blocked AND NOT allowed THEN 'block' ELSE 'allow' END) AS verdict
+FROM (SELECT page_id, {_host("url")} AS host, {_path("url")} AS path, {_address("url")} AS node FROM pages) p
+LEFT JOIN best ON best.host = p.host AND best.path = p.path LEFT JOIN aliases ON aliases.node = p.node
+"""
+
+ORACLES: dict[str, str] = {"op6_url_filters": _URL_FILTERS}
