@@ -5,6 +5,11 @@ scaled to length one. The model is trained by follow-the-regularised-leader
 (FTRL-proximal) with an elastic net, which leaves most weights zero, and its scores
 are calibrated by one temperature on labelled rows it was not trained on.
 
+Whether a text is in a learnt language at all is told apart from which one it is: by
+its surprise, how rare its n-grams are among all labelled rows of its language. The
+limit lies a third of the way from the median of labelled rows, each left out of the counts, to
+what arbitrary n-grams give, so some wrong labels do not move it.
+
 Document frequencies count all rows to learn from. The weights are fitted on a
 bounded sample of them: of each language about ``PER_LANGUAGE`` rows, drawn by hash.
 Every text is read whole.
@@ -31,6 +36,11 @@ PER_LANGUAGE = 600
 CALIBRATE_EVERY = 5
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3
+# Of held-back rows, this share may score worse than what the least score is set by.
+TAIL = 0.01
+# How far from the median of its rows to arbitrary n-grams a text of a language may be. The rows of sf0.01 reach 0.14
+# of the way; the foreign texts that were tried start at 0.4.
+STRANGE = 1 / 3
 UNKNOWN = "und"
 CHUNK = 1 << 20
 # Odd 32-bit multipliers, one for each place in an n-gram.
@@ -93,6 +103,7 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray  # a row for each bucket and one for the constant
     temperature: float = 1.0
+    least: float = 0.0  # the score between chance and the worst of the rows that the model was calibrated on
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         index, values = features(counts, self.idf)
@@ -222,7 +233,17 @@ def train(labelled: DataFrame) -> Model:
     weights = train_ftrl([vectors[i] for i in learn], [own[i] for i in learn], len(languages))
     held = [i for i, b in enumerate(back) if b]
     scores = [vectors[i][1] @ weights[vectors[i][0]] + weights[-1] for i in held]
-    return Model(languages, idf, weights.astype(np.float32), calibrated(scores, [own[i] for i in held]))
+    temperature = calibrated(scores, [own[i] for i in held])
+    return Model(languages, idf, weights.astype(np.float32), temperature, least_score(scores, [own[i] for i in held], temperature))
+
+
+def least_score(scores: list[np.ndarray], labels: list[int], temperature: float) -> float:
+    """Halfway from chance to the score that all but ``TAIL`` of the held-back rows reach for their own language."""
+    found = [float(p.max()) for p, own in zip((softmax(s / temperature) for s in scores), labels) if p.argmax() == own]
+    if not found:
+        return 0.0
+    chance = 1 / len(scores[0])
+    return (chance + max(chance, float(np.quantile(found, TAIL)))) / 2
 
 
 def predict_languages(texts: DataFrame, model: Model) -> DataFrame:
@@ -243,25 +264,93 @@ def predict_languages(texts: DataFrame, model: Model) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_certain(docs: DataFrame, least: float) -> DataFrame:
-    """Rows of ``docs`` (text, lang and any others) whose language is known with a score of ``least`` or more.
+@dataclass
+class Familiar:
+    """How often the n-grams of each language occur in its labelled rows, and how rare those of a text may be."""
+
+    frequency: dict[str, np.ndarray]
+    rows: dict[str, int]
+    limit: dict[str, float]
+
+    def surprise(self, counts: np.ndarray, lang: str, counted: bool) -> float:
+        """The mean over a text's n-grams of minus the logarithm of the share of rows that have it; without itself if counted."""
+        index = np.flatnonzero(counts)
+        share = (self.frequency[lang][index] - counted + 0.5) / (self.rows[lang] - counted + 1.0)
+        return float(-(counts[index] @ np.log(share)) / counts[index].sum())
+
+    def strange(self, lang: str) -> float:
+        """The surprise of a text whose n-grams fall into all buckets alike."""
+        return float(-np.log((self.frequency[lang] + 0.5) / (self.rows[lang] + 1.0)).mean())
+
+
+def familiar(labelled: DataFrame) -> Familiar:
+    """Counts over all rows (text, lang), and limits from about ``PER_LANGUAGE`` rows of each language."""
+    rows = labelled.where("lang is not null and text is not null").select("text", "lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for text, lang in zip(batch.column("text"), batch.column("lang")):
+                if (counts := gram_counts(text.as_py())) is not None:
+                    held = found.setdefault(lang.as_py(), np.zeros(BUCKETS + 1, np.int64))
+                    held[:-1] += counts > 0
+                    held[-1] += 1
+        for lang, held in found.items():
+            index = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(index)), pa.array(index), pa.array(held[index])], ["lang", "bucket", "n"])
+
+    totals = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    held: dict[str, np.ndarray] = {}
+    for lang, bucket, n in zip(*(totals.column(c).to_pylist() for c in ("lang", "bucket", "n"))):
+        held.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))[bucket] = n
+    known = Familiar({k: v[:-1] for k, v in held.items()}, {k: int(v[-1]) for k, v in held.items()}, {})
+    share = F.lit(0.0)
+    for lang, n in known.rows.items():
+        share = F.when(F.col("lang") == lang, PER_LANGUAGE / n).otherwise(share)
+    sample = rows.where(drawn(F.monotonically_increasing_id(), share))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = [(lang.as_py(), gram_counts(text.as_py())) for text, lang in zip(batch.column("text"), batch.column("lang"))]
+            said = [(lang, known.surprise(counts, lang, True)) for lang, counts in counted if counts is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], ["lang", "surprise"])
+
+    by: dict[str, list[float]] = {}
+    for lang, surprise in sample.mapInArrow(measured, "lang string, surprise double").collect():
+        by.setdefault(lang, []).append(surprise)
+    middle = {lang: float(np.median(found)) for lang, found in by.items()}
+    known.limit = {lang: m + (known.strange(lang) - m) * STRANGE for lang, m in middle.items()}
+    return known
+
+
+def keep_certain(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """Rows of ``docs`` (text, lang and any others) that are surely in one of the labelled languages.
 
     The labelled rows teach the model. Rejected are texts without a letter, null
-    ones too, and texts of which the model is less certain. Without any labelled
+    ones too, texts that score under ``least`` or hardly better than by chance among the learnt
+    languages, and texts whose n-grams are rare in the language they score best
+    for: those in other languages and junk. A row's own label does not vouch for it. Without any labelled
     row nothing can be told apart and only texts without a letter go. Columns
     and repeated rows stay as they are.
     """
-    model = train(docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
+    labelled = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    model = train(labelled)
+    known = familiar(labelled)
+    wanted = max(least, model.least)
+
+    def certain(text: str | None, lang: str | None) -> bool:
+        counts = gram_counts(text)
+        if counts is None or not model.languages:
+            return counts is not None
+        said, score = model.predict(text)
+        if score < wanted:
+            return False
+        return said not in known.limit or known.surprise(counts, said, said == lang) <= known.limit[said]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for text in batch.column(batch.schema.get_field_index("text")):
-                if model.languages:
-                    lang, score = model.predict(text.as_py())
-                    kept.append(lang != UNKNOWN and score >= least)
-                else:
-                    kept.append(gram_counts(text.as_py()) is not None)
+            columns = (batch.column(batch.schema.get_field_index(c)) for c in ("text", "lang"))
+            kept = [certain(text.as_py(), lang.as_py()) for text, lang in zip(*columns)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
