@@ -6,14 +6,17 @@ more than the given shards is found by bisection, and the order is cut there.
 Groups above the even share come first and take a shard each, so that one
 huge group of copies does not widen the other shards.
 
-The driver never sees all groups. It walks over cells, that is over sums of
-groups whose hashes begin alike, and asks for finer sums only of the cells in
-which a cut can fall. The result is the one of a walk over single groups.
+The driver never sees all groups, however their sizes are spread. It walks over
+cells, that is over sums of groups whose hashes begin alike, for one capacity at
+a time, and asks for finer sums only of the few cells around each cut. The
+result is the one of a walk over single groups.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +27,15 @@ from .common import ranked, saved
 # 256 for each cell that holds a cut.
 FIRST_DIGITS = 4
 MORE_DIGITS = 2
+# Cells refined at once at either side of where a cut may lie, and how many
+# times the first cells are held before the finer ones of earlier capacities go.
+WIDE = 8
+HELD = 4
 DIGITS = 64
 OVERHEAD = 16
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, slots=True)
 class Cell:
     """Groups whose hash starts with ``prefix``, as one piece of the order."""
 
@@ -64,62 +71,72 @@ def smallest_capacity(sizes: list[int], shards: int, low: int) -> int:
 
 
 def _cells(groups: DataFrame, digits: int, within: list[str] | None = None) -> list[Cell]:
-    """The cells of ``digits`` hash digits, of all groups or of those in some cells."""
+    """The cells of ``digits`` hash digits, or those of ``digits`` more inside the cells ``within``."""
+    prefix = F.substring("key", 1, digits)
     if within is not None:
-        wanted = groups.sparkSession.createDataFrame([(p,) for p in within], "wanted string")
-        length = len(within[0])
-        groups = groups.join(F.broadcast(wanted), F.substring("key", 1, length) == F.col("wanted"), "left_semi")
+        prefix = F.lit(None)
+        for length in {len(p) for p in within}:
+            held = F.substring("key", 1, length).isin([p for p in within if len(p) == length])
+            prefix = F.when(held, F.substring("key", 1, length + digits)).otherwise(prefix)
     rows = (
-        groups.groupBy(F.substring("key", 1, digits).alias("prefix"))
+        groups.select(prefix.alias("prefix"), "size")
+        .where(F.col("prefix").isNotNull())
+        .groupBy("prefix")
         .agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("size").alias("largest"))
         .collect()
     )
     return sorted((Cell(r["prefix"], r["size"], r["n"], r["largest"]) for r in rows), key=lambda c: c.prefix)
 
 
+def _ends(cells: list[Cell], edges: list[int], capacity: int, shards: int) -> tuple[list[int], list[int], set[int]]:
+    """Of each shard's end the least and the greatest place (sum of sizes before it), and cells that would tell more.
+
+    A shard that starts later does not end earlier. So the ends lie between a
+    walk that stops before the cell it cannot take whole, and one that is full
+    inside a cell of several groups. ``edges`` are the sums before each cell.
+    """
+    low = high = 0
+    lows, highs, open_ = [], [], set()
+    for _ in range(shards):
+        i, j = bisect_right(edges, low + capacity) - 1, bisect_right(edges, high + capacity) - 1
+        inside = j < len(cells) and cells[j].groups > 1
+        low, high = edges[i], high + capacity if inside else edges[j]
+        lows.append(low)
+        highs.append(high)
+        if low < high:
+            last = min(j, len(cells) - 1)
+            near = {*range(i, min(i + WIDE, last + 1)), *range(max(i, last + 1 - WIDE), last + 1)}
+            open_ |= {c for c in near if cells[c].groups > 1}
+    return lows, highs, open_
+
+
 def _cut(groups: DataFrame, shards: int) -> list[str]:
     """Hash prefixes at which the shards after the first start."""
-    cells = _cells(groups, FIRST_DIGITS)
+    first = cells = _cells(groups, FIRST_DIGITS)
     if not cells or shards < 2:
         return []
-    floor = max(c.largest for c in cells)
-    digits = FIRST_DIGITS
+    sizes = [c.size for c in cells]
+    total = sum(sizes)
+    low = max(max(c.largest for c in cells), -(-total // shards))
+    high = smallest_capacity(sizes, shards, low)
     while True:
-        sizes = [c.size for c in cells]
-        total = sum(sizes)
-        low = max(floor, -(-total // shards))
-        high = smallest_capacity(sizes, shards, low)
-        doubtful = _may_hold_cuts(cells, low, high, shards)
-        if digits >= DIGITS or not doubtful:
-            return [cells[i].prefix for i in walk(sizes, high)[1:]]
-        by_length: dict[int, list[str]] = {}
-        for i in doubtful:
-            by_length.setdefault(len(cells[i].prefix), []).append(cells[i].prefix)
-        digits = max(by_length) + MORE_DIGITS
-        split = {p for prefixes in by_length.values() for p in prefixes}
-        finer = [c for length, prefixes in by_length.items() for c in _cells(groups, length + MORE_DIGITS, prefixes)]
-        cells = sorted([*(c for c in cells if c.prefix not in split), *finer], key=lambda c: c.prefix)
-
-
-def _may_hold_cuts(cells: list[Cell], low: int, high: int, shards: int) -> list[int]:
-    """Cells of several groups in which a shard can end at some capacity from low to high.
-
-    The k-th end lies after at least k * low - (what shards leave empty) and at
-    most k * high of the sizes; a shard leaves less than the largest group empty.
-    """
-    found, before = [], 0
-    largest = max(c.largest for c in cells)
-    for i, cell in enumerate(cells):
-        after = before + cell.size
-        if cell.groups > 1:
-            k = max(1, before // high)
-            while k < shards and k * (low - largest) <= after:
-                if k * high >= before:
-                    found.append(i)
-                    break
-                k += 1
-        before = after
-    return found
+        middle = (low + high) // 2
+        if len(cells) > HELD * len(first):
+            cells = first
+        while True:
+            edges = [0, *accumulate(c.size for c in cells)]
+            lows, highs, open_ = _ends(cells, edges, middle, shards)
+            fits, too_small = lows[-1] == total, highs[-1] < total
+            if lows == highs or (low < high and (fits or too_small)):
+                break
+            finer = _cells(groups, MORE_DIGITS, [cells[i].prefix for i in sorted(open_)])
+            cells = sorted([*(c for i, c in enumerate(cells) if i not in open_), *finer], key=lambda c: c.prefix)
+        if low == high:
+            return [cells[bisect_left(edges, end)].prefix for end in lows if end < total]
+        if fits:
+            high = middle
+        else:
+            low = middle + 1
 
 
 def plan(groups: DataFrame, shards: int) -> tuple[list[str], list[str]]:

@@ -161,3 +161,22 @@ def test_mix_without_rows_or_words(documents):
 def test_no_python_in_the_plan(spark):
     plan = mixing.mix(table(spark, SF, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_driver_holds_few_cells_of_skewed_groups(spark, monkeypatch):
+    """Groups just under the even share of 40 shards, among many small ones."""
+    monkeypatch.setattr(sharding, "FIRST_DIGITS", 3)
+    draw = random.Random(11)
+    sizes = {hashlib.sha256(str(i).encode()).hexdigest(): draw.randint(17, 400) for i in range(60_000)}
+    small = sum(sizes.values())
+    for i, share in enumerate((0.02, 0.0125, 0.006, 0.0025)):
+        sizes[hashlib.sha256(f"large {i}".encode()).hexdigest()] = int(small * share)
+    held, cells = [], sharding._cells
+    monkeypatch.setattr(sharding, "_cells", lambda *a: held.append(cells(*a)) or held[-1])
+    alone, starts = sharding.plan(spark.createDataFrame(list(sizes.items()), "key string, size long").cache(), 40)
+    order = sorted(sizes)
+    capacity = sharding.smallest_capacity([sizes[k] for k in order], 40, 0)
+    whole = [order[i] for i in sharding.walk([sizes[k] for k in order], capacity)][1:]
+    assert alone == [] and len(starts) == len(whole)
+    assert [next(k for k in order if k >= s) for s in starts] == whole
+    assert max(map(len, held)) < 15_000
