@@ -13,6 +13,7 @@ from .html import extract_text
 from .language import identify_languages
 from .minhash import fingerprint_documents
 from .mixing import mix
+from .phrases import collocations
 from .scoring import score_documents
 from .secrets import scan_secrets
 from .sharding import shard_documents
@@ -71,6 +72,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words belong together."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_language_id,
         op10_mixing,
+        op11_phrase_collocations,
     )
 }
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -154,4 +161,39 @@ FROM (SELECT page_id, {_host("url")} AS host, {_path("url")} AS path, {_address(
 LEFT JOIN best ON best.host = p.host AND best.path = p.path LEFT JOIN aliases ON aliases.node = p.node
 """
 
-ORACLES: dict[str, str] = {"op6_url_filters": _URL_FILTERS}
+# Every phrase of 1 to 4 words is counted; candidates, cuts and contained phrases follow from the counts.
+_COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM places, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM counts WHERE k > 1
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, cut, f.a AS l, r.a AS r, (2000000 * CAST(c.a AS HUGEINT)) // (f.a + r.a) AS score FROM cuts c
+  JOIN counts f ON f.lang = c.lang AND f.phrase = array_to_string(w[1:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')
+), worst AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+  SELECT lang, phrase, max(longer) AS longer FROM (
+    SELECT lang, a AS longer, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') AS phrase
+    FROM counts, (VALUES (2), (3)) AS lengths(s), (VALUES (1), (2), (3)) AS places(i) WHERE s < k AND i + s - 1 <= k)
+  GROUP BY ALL
+), ranked AS (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.phrase)) AS rank, w.phrase, a, l, r, score
+  FROM worst w LEFT JOIN inner_phrases i ON i.lang = w.lang AND i.phrase = w.phrase
+  WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op6_url_filters": _URL_FILTERS, "op11_phrase_collocations": _COLLOCATIONS}
