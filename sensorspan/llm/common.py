@@ -92,6 +92,26 @@ def ranked(df: DataFrame, groups: Iterable[str], order: Iterable[str], name: str
     return joined.select(*df.columns, (F.col("_offset") + F.col("_inside") - 1).cast("long").alias(name))
 
 
+def numbered(df: DataFrame, groups: Iterable[str], order: Iterable[str], name: str) -> DataFrame:
+    """Number the rows of each group from 0 in ``order``, nulls first, wherever one group has most rows.
+
+    All rows are dealt by ranges of group and order. A group that goes on in the next
+    partition is numbered on from what the partitions before hold of it; there is at
+    most one such group for each partition.
+    """
+    groups, order = list(groups), list(order)
+    placed = saved(df.repartitionByRange(*groups, *order)).withColumn("_at", F.spark_partition_id())
+    counts = placed.groupBy(*groups, "_at").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*(F.col(c).alias(f"_{c}") for c in groups), F.col("_at").alias("_piece"), earlier.alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy(*groups, "_at").orderBy(*order))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups]
+    joined = placed.withColumn("_inside", inside).join(
+        offsets.where("_offset is not null"), [*same, F.col("_at") == F.col("_piece")], "left"
+    )
+    return joined.select(*df.columns, (F.coalesce("_offset", F.lit(0)) + F.col("_inside") - 1).cast("long").alias(name))
+
+
 def _before(value: str, groups: list[str], order: list[str]) -> Column:
     """The sum of ``value`` over the rows of the group that come before."""
     window = Window.partitionBy(*groups).orderBy(*(F.col(c).asc_nulls_last() for c in order))

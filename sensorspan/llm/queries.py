@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import chat_windows, digests
 from .common import table
 from .decontamination import contaminations
 from .html import extract_text
@@ -14,6 +15,7 @@ from .language import identify_languages
 from .minhash import fingerprint_documents
 from .mixing import mix
 from .phrases import collocations
+from .prefixes import prefix_trie
 from .scoring import score_documents
 from .secrets import scan_secrets
 from .sharding import shard_documents
@@ -77,6 +79,23 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix that conversations share, with what lies below it."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, as read back from their formatted windows."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(
+        F.lit(-7).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return digests(chat_windows(rows.union(odd)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_mixing,
         op11_phrase_collocations,
+        op12_prefix_trie,
+        op13_chat_formatting,
     )
 }
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -196,4 +217,51 @@ WITH pieces AS (
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op6_url_filters": _URL_FILTERS, "op11_phrase_collocations": _COLLOCATIONS}
+# A CRC-32 by its bits: a byte is taken in (non-negative), then eight shifts (-1).
+_CRC32 = (
+    "xor(list_reduce([4294967295] || flatten(list_transform(range(1, len({0}) + 1),"
+    " lambda i: [ascii({0}[i]), -1, -1, -1, -1, -1, -1, -1, -1])), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)"
+    " WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"
+)
+# A prefix is the list of its turns' digests, as text; the root's is empty.
+_PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, key, x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) - 1 AS i
+  FROM (SELECT conv_id, turn, coalesce(text, '') AS x,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+    FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, {_CRC32.format("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT n.c, 0 AS part, b.i, b.key, b.x FROM convs n JOIN turns b ON b.c = n.c - n.c % 5 AND b.i < n.h
+  UNION ALL SELECT t.c, 1, t.i, t.key, t.x FROM turns t JOIN convs n ON t.c = n.c AND t.i >= n.h
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d FROM rebuilt
+), prefixes AS (
+  SELECT c, d, strlen(x) AS bytes, string_agg(key, ',') OVER (PARTITION BY c ORDER BY d) AS p FROM numbered
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT d, p, left(p, greatest(65 * (d - 1) - 1, 0)) AS parent, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes
+  FROM prefixes GROUP BY d, p
+), children AS (
+  SELECT d - 1 AS d, parent AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.d = n.d AND k.p = n.p
+), below AS (
+  SELECT a.d, a.p, sum(CAST(y.n_children = 0 AS BIGINT)) AS n_leaves, sum((y.n_convs - 1) * y.bytes) AS saved_tokens
+  FROM counted y JOIN prefixes a ON a.c = y.conv_id AND a.d <= y.d GROUP BY a.d, a.p
+), ends AS (
+  SELECT d, p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256
+  FROM (SELECT *, max(d) OVER (PARTITION BY c) AS last FROM prefixes) WHERE d = last GROUP BY d, p
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM counted n JOIN below b ON b.d = n.d AND b.p = n.p LEFT JOIN ends e ON e.d = n.d AND e.p = n.p
+LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.parent AND n.d > 0
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_url_filters": _URL_FILTERS,
+    "op11_phrase_collocations": _COLLOCATIONS,
+    "op12_prefix_trie": _PREFIX_TRIE,
+}
