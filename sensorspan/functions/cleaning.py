@@ -13,10 +13,13 @@ MISSING_NUMBER = "0"
 UNKNOWN_FILE = "unknown_device.json"
 
 
-def fill_timestamp(text: Column, batch_time: datetime) -> Column:
-    """No time of its own: the time of the batch."""
-    stamp = batch_time.strftime("%Y-%m-%d %H:%M:%S")
-    return F.when(text.isNull() | (text == ""), F.lit(stamp)).otherwise(text)
+def fill_timestamp(text: Column, batch_time: datetime | Column) -> Column:
+    """No time of its own: the time of the batch, to the second."""
+    if isinstance(batch_time, Column):
+        stamp = F.date_format(batch_time, "yyyy-MM-dd HH:mm:ss")
+    else:
+        stamp = F.lit(batch_time.strftime("%Y-%m-%d %H:%M:%S"))
+    return F.when(text.isNull() | (text == ""), stamp).otherwise(text)
 
 
 def default_string(text: Column) -> Column:

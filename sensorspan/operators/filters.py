@@ -49,16 +49,34 @@ def in_list(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     return df.filter(F.col(column).isin(list(dict.fromkeys(values))))
 
 
+def in_relation(df: DataFrame, column: str, keys: DataFrame, key: str | None = None) -> DataFrame:
+    """Rows with a value that ``keys`` has, however many those are.
+
+    The keys are joined and never become part of the plan's text. Their least and
+    greatest value are known before the scan starts and let it skip files and row groups.
+    Null matches nothing.
+    """
+    key = key or column
+    wanted = keys.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    low, high = (wanted.agg(edge("_key")).scalar() for edge in (F.min, F.max))
+    return df.filter(F.col(column).between(low, high)).join(wanted, F.col(column) == F.col("_key"), "left_semi")
+
+
 def equals(df: DataFrame, column: str, value: object) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value))
 
 
 def lookup(df: DataFrame, **criteria: object) -> DataFrame:
-    """Only the given criteria apply, all of them; a list means any of its values."""
+    """Only the given criteria apply, all of them.
+
+    A list means any of its values, a DataFrame of one column any of its rows.
+    """
     for column, wanted in criteria.items():
         if wanted is None:
             continue
-        if isinstance(wanted, (list, tuple, set)):
+        if isinstance(wanted, DataFrame):
+            df = in_relation(df, column, wanted, wanted.columns[0])
+        elif isinstance(wanted, (list, tuple, set)):
             df = in_list(df, column, wanted)
         else:
             df = equals(df, column, wanted)

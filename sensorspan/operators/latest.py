@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,23 @@ from .dedupe import newest_per_key
 
 LATEST_COLUMNS = ("device_urn", "device_sn", "loc_country", "loc_name", "loc_lat", "loc_lon")
 
+# The columns of a newest reading.
+LATEST_ROW = ("device_urn", "last_reading", *LATEST_COLUMNS[1:], "radiation")
+
+
+def latest_order(columns: Sequence[str]) -> list[str]:
+    """What makes one of a device's readings the newest: its time, then the other columns."""
+    return ["last_reading", *[c for c in columns if c not in ("device_urn", "last_reading")]]
+
+
+def latest_rows(facts: DataFrame) -> DataFrame:
+    """The columns of a newest reading, of all readings."""
+    return facts.select(
+        *LATEST_COLUMNS,
+        F.col("lnd_7318u").alias("radiation"),
+        F.col("when_captured").alias("last_reading"),
+    )
+
 
 def latest_by_device(facts: DataFrame) -> DataFrame:
     """One row per device: where it is and what it last read.
@@ -17,16 +36,11 @@ def latest_by_device(facts: DataFrame) -> DataFrame:
     Equal times are settled by the remaining columns, so the row is the same
     on every run.
     """
-    rows = facts.select(
-        *LATEST_COLUMNS,
-        F.col("lnd_7318u").alias("radiation"),
-        F.col("when_captured").alias("last_reading"),
-    )
+    rows = latest_rows(facts)
     # The newest time is a plain maximum; only rows at that time are compared whole.
     newest = rows.groupBy("device_urn").agg(F.max("last_reading").alias("last_reading"))
     ends = rows.join(newest, ["device_urn", "last_reading"], "left_semi")
-    order = ["last_reading", *[c for c in rows.columns if c not in ("device_urn", "last_reading")]]
-    return newest_per_key(ends, ["device_urn"], order)
+    return newest_per_key(ends, ["device_urn"], latest_order(rows.columns))
 
 
 def map_latest_positions(hourly: DataFrame, since) -> DataFrame:

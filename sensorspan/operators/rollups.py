@@ -10,50 +10,106 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timebuckets import day_of, day_start, hour_ceil, hour_floor, hour_of, moment
 from ..schema import ROLLUP_KEYS
 from .filters import PARTITION, TIME, last
 
-STATE = (
-    "reading_count",
-    "radiation_sum",
-    "radiation_n",
-    "max_radiation",
-    "min_radiation",
-    "temp_sum",
-    "temp_n",
-    "max_temp",
-    "min_temp",
-)
+# Sums of whole numbers; a sum past these digits is null, and stays so when it is merged.
+EXACT = T.DecimalType(38, 0)
+
+STATE = {
+    "reading_count": T.LongType(),
+    "radiation_sum": T.DoubleType(),
+    "radiation_n": T.LongType(),
+    "max_radiation": T.DoubleType(),
+    "min_radiation": T.DoubleType(),
+    "temp_sum": T.DoubleType(),
+    "temp_n": T.LongType(),
+    "max_temp": T.DoubleType(),
+    "min_temp": T.DoubleType(),
+    # Moments of the positive counts, for means and deviations of any set of buckets.
+    "positive_n": T.LongType(),
+    "positive_sum": EXACT,
+    "positive_squares": EXACT,
+    "first_at": T.TimestampNTZType(),
+    "last_at": T.TimestampNTZType(),
+}
+MOMENTS = ("positive_sum", "positive_squares")
+
+
+def state_columns() -> list[Column]:
+    """The aggregates that make state of facts."""
+    radiation = F.col("lnd_7318u").cast("double")
+    temp = F.col("env_temp").cast("double")
+    positive = F.when(F.col("lnd_7318u") > 0, F.col("lnd_7318u").cast("decimal(19,0)"))
+    made = (
+        F.count(F.lit(1)),
+        F.sum(radiation),
+        F.count(radiation),
+        F.max(radiation),
+        F.min(radiation),
+        F.sum(temp),
+        F.count(temp),
+        F.max(temp),
+        F.min(temp),
+        F.count(positive),
+        F.coalesce(F.try_sum(positive.cast(EXACT)), _none_yet(F.count(positive))),
+        F.coalesce(F.try_sum((positive * positive).cast(EXACT)), _none_yet(F.count(positive))),
+        F.min(TIME),
+        F.max(TIME),
+    )
+    return [column.alias(name) for name, column in zip(STATE, made)]
+
+
+def _none_yet(count: Column) -> Column:
+    """0 where nothing was added up; null where a sum was too large."""
+    return F.when(count == 0, F.lit(0).cast(EXACT))
 
 
 def bucket_state(facts: DataFrame, bucket: Column, name: str, keys=ROLLUP_KEYS) -> DataFrame:
     """Mergeable state per bucket and identity."""
-    radiation = F.col("lnd_7318u").cast("double")
-    temp = F.col("env_temp").cast("double")
-    return facts.groupBy(bucket.alias(name), *keys).agg(
-        F.count(F.lit(1)).alias("reading_count"),
-        F.sum(radiation).alias("radiation_sum"),
-        F.count(radiation).alias("radiation_n"),
-        F.max(radiation).alias("max_radiation"),
-        F.min(radiation).alias("min_radiation"),
-        F.sum(temp).alias("temp_sum"),
-        F.count(temp).alias("temp_n"),
-        F.max(temp).alias("max_temp"),
-        F.min(temp).alias("min_temp"),
-    )
+    return facts.groupBy(bucket.alias(name), *keys).agg(*state_columns())
 
 
 def merge_state(state: DataFrame, bucket: Column, name: str, keys=ROLLUP_KEYS) -> DataFrame:
     """State of equal or wider buckets from state of narrower ones, or of several parts."""
-    sums = ("reading_count", "radiation_sum", "radiation_n", "temp_sum", "temp_n")
+    sums = ("reading_count", "radiation_sum", "radiation_n", "temp_sum", "temp_n", "positive_n")
     merged = [F.sum(c).alias(c) for c in sums]
-    merged += [F.max(c).alias(c) for c in ("max_radiation", "max_temp")]
-    merged += [F.min(c).alias(c) for c in ("min_radiation", "min_temp")]
+    merged += [whole_sum(c).alias(c) for c in MOMENTS]
+    merged += [F.max(c).alias(c) for c in ("max_radiation", "max_temp", "last_at")]
+    merged += [F.min(c).alias(c) for c in ("min_radiation", "min_temp", "first_at")]
     return state.groupBy(bucket.alias(name), *keys).agg(*merged).select(name, *keys, *STATE)
 
 
+def whole_sum(name: str) -> Column:
+    """A sum of exact parts; null if one of them, or the sum, is too large."""
+    return F.when(F.count(name) == F.count(F.lit(1)), F.try_sum(name))
+
+
+def radiation_moments(state: DataFrame, *keys: str) -> DataFrame:
+    """Mean and sample deviation of the positive counts by ``keys``, from state of any buckets.
+
+    Equal to a pass over the facts of those buckets. The deviation's numerator is computed
+    in whole numbers where they fit into 38 digits, so constant readings have exactly none.
+    """
+    n = F.col("n").cast("decimal(20,0)")
+    total = state.groupBy(*keys).agg(
+        F.sum("positive_n").alias("n"), whole_sum("positive_sum").alias("s"), whole_sum("positive_squares").alias("q")
+    )
+    exact = F.expr("try_subtract(try_multiply(cast(n as decimal(38,0)), q), try_multiply(s, s))").cast("double")
+    rough = F.col("n") * F.col("q").cast("double") - F.col("s").cast("double") * F.col("s").cast("double")
+    found = F.coalesce(exact, rough)
+    spread = F.when(found < 0, 0.0).otherwise(found)
+    pairs = F.col("n").cast("double") * (F.col("n") - 1)
+    return total.where("n > 0").select(
+        *keys,
+        F.try_divide(F.col("s").cast("double"), n.cast("double")).alias("avg_radiation"),
+        F.sqrt(F.try_divide(spread, pairs)).alias("stddev_radiation"),
+    )
+
+
 def summary(state: DataFrame, name: str, keys=ROLLUP_KEYS) -> DataFrame:
     """The published columns of a rollup."""
     return state.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import number_to_bigint, to_bigint, to_double, to_moment
@@ -19,7 +19,7 @@ from ..operators.dedupe import unique_by_first
 from ..schema import FEED_KEY, MEASUREMENT_COLUMNS
 
 
-def clean_feed(feed: DataFrame, batch_time: datetime, *keep: str) -> DataFrame:
+def clean_feed(feed: DataFrame, batch_time: datetime | Column, *keep: str) -> DataFrame:
     """Defaults for missing fields and the derived file name, all as text.
 
     Columns named in ``keep`` are carried along unchanged.

@@ -429,17 +429,23 @@ def hourly_radiation_by_device(facts: DataFrame, frm: datetime, to: datetime) ->
 
 
 def anomalies_zscore(
-    facts: DataFrame, frm: datetime, to: datetime, threshold: float = 2.0
+    facts: DataFrame,
+    frm: datetime,
+    to: datetime,
+    threshold: float = 2.0,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Readings far above their device's mean.
 
     Mean and deviation come from all positive readings of all time; the
     readings compared with them are all readings of the range. Devices with
     one reading or with constant ones have no deviation and no anomalies.
+    ``stats`` (the tables' ``radiation_stats``, or ``radiation_moments`` of any state) has
+    them ready; without it they are computed from all facts.
     """
     rows = time_filter(facts, frm, to).select(TIME, "device_urn", "lnd_7318u")
     score = z_score(F.col("lnd_7318u"), F.col("avg_radiation"), F.col("stddev_radiation"))
-    scored = join_device_stats(rows, device_radiation_stats(facts)).select(
+    scored = join_device_stats(rows, device_radiation_stats(facts) if stats is None else stats).select(
         TIME, "device_urn", "lnd_7318u", "avg_radiation", score.alias("z_score")
     )
     far = scored.filter(F.col("z_score") > threshold)

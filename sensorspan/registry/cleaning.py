@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as cl
 from ..functions.casting import number_to_bigint, to_bigint, to_moment
-from ..operators.dedupe import split_keyed, unique_by_first
+from ..functions.timebuckets import moment
+from ..operators.dedupe import split_keyed, unique_by_first, unmatched
+from ..operators.tables import batch_report, last_sync
 from ..plans.ingest import clean_feed, enforce_schema, ingest, valid_time
-from .core import AS_OF, query, raw_feed, sql_with
+from .core import AS_OF, HELD_UNTIL, measurements, query, raw_feed, sql_with, ts
 
 BATCH_TIME = datetime(2024, 1, 30, 12, 0, 5)
 STAMP = BATCH_TIME.strftime("%Y-%m-%d %H:%M:%S")
@@ -113,6 +115,41 @@ def quarantine_split(spark, sf):
     )
 
 
+_HELD = f"SELECT * FROM m WHERE when_captured < {ts(HELD_UNTIL)}"
+
+
+@query(
+    "batch_report_feed",
+    sql_with(
+        "SELECT (SELECT COUNT(*) FROM f) AS fetched, (SELECT COUNT(*) FROM v) AS valid,"
+        " (SELECT COUNT(*) FROM fresh) AS new,"
+        " (SELECT COUNT(*) FROM held) + (SELECT COUNT(*) FROM fresh) AS total,"
+        " (SELECT MAX(when_captured) FROM held) AS old_watermark,"
+        " (SELECT MAX(when_captured) FROM (SELECT when_captured FROM held UNION ALL"
+        " SELECT when_captured FROM fresh)) AS new_watermark",
+        "f",
+        "m",
+        u=FIRST,
+        c=CLEANED,
+        t=TYPED,
+        v=VALID,
+        held=_HELD,
+        fresh=(
+            f"SELECT * FROM v WHERE {_FIT} AND NOT EXISTS (SELECT 1 FROM held"
+            " WHERE held.device = v.device AND held.when_captured = v.when_captured)"
+        ),
+    ),
+)
+def batch_report_feed(spark, sf):
+    """The report of a feed with every defect: repeats, times that are none, no device, the future."""
+    feed = raw_feed(spark, sf)
+    valid = ingest(feed, BATCH_TIME).drop("pos")
+    held = measurements(spark, sf).filter(F.col("when_captured") < moment(HELD_UNTIL))
+    fresh = unmatched(split_keyed(valid, AS_OF)[0], held)
+    state = held.agg(F.lit("measurements").alias("table_name"), F.max("when_captured").alias("last_sync_timestamp"))
+    return batch_report(feed, valid, fresh, held.unionByName(fresh), last_sync(state, "measurements"))
+
+
 def _scalar(name: str, column: str, sql: str, make) -> None:
     @query(name, sql_with(f"SELECT pos, {column} AS raw, {sql} AS clean FROM f", "f"))
     def run(spark, sf):

@@ -188,9 +188,30 @@ def filter_in_list(spark, sf):
 
 @query("filter_in_long_list", _where("CAST(device_sn AS INTEGER) BETWEEN 65100 AND 67099"))
 def filter_in_long_list(spark, sf):
-    """More serial numbers than fit a predicate: the list becomes a relation."""
-    wanted = [str(n) for n in range(65100, 67100)]
-    return flt.in_list(measurements(spark, sf), "device_sn", wanted)
+    """More serial numbers than fit a predicate, as a relation of keys."""
+    wanted = spark.range(65100, 67100).select(F.col("id").cast("string").alias("device_sn"))
+    return flt.in_relation(measurements(spark, sf), "device_sn", wanted)
+
+
+@query(
+    "filter_in_relation",
+    _where("device_urn IN (SELECT device_urn FROM m WHERE lnd_7318u > 150)"),
+)
+def filter_in_relation(spark, sf):
+    """All readings of the devices that ever read high: the keys come from the table itself."""
+    facts = measurements(spark, sf)
+    high = facts.filter(F.col("lnd_7318u") > 150)
+    return flt.in_relation(facts, "device_urn", high)
+
+
+@query(
+    "filter_lookup_relation",
+    _where("device IN (SELECT user_id FROM events WHERE event_type = 'error') AND loc_name = 'AMERICA'"),
+)
+def filter_lookup_relation(spark, sf):
+    """A relation of keys and a value together."""
+    events = spark.read.parquet(f"{sf}/events.parquet").filter(F.col("event_type") == "error")
+    return flt.lookup(measurements(spark, sf), device=events.select("user_id"), loc_name="AMERICA")
 
 
 @query("filter_device", _where("device_urn = 'mobile:1'"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from ..operators.filters import TIME
 from ..operators.latest import latest_by_device, map_latest_positions
 from ..operators.tables import last_sync, next_sync
 from ..plans.views import register_views, run_sql, standing_views
+from ..schema import MEASUREMENT_COLUMNS
+from ..tables.bucketed import BucketedFacts
 from .core import (
     AS_OF,
     EARLY,
@@ -155,6 +158,48 @@ def insert_or_ignore(spark, sf):
     return dedupe.insert_or_ignore(twice, held, ["pos"])
 
 
+def _bucketed(spark, rows) -> BucketedFacts:
+    name = f"facts_{uuid.uuid4().hex}"
+    table = BucketedFacts(spark, name, scratch_path(spark, name), buckets=8)
+    table.append(rows)
+    return table
+
+
+@query(
+    "join_anti_bucketed",
+    sql_with(
+        "SELECT n.* FROM n LEFT JOIN held ON n.device = held.device"
+        " AND n.when_captured = held.when_captured WHERE held.device IS NULL",
+        "m",
+        held=HELD,
+        n=BATCH,
+    ),
+)
+def join_anti_bucketed(spark, sf):
+    """The unseen rows of a batch, against facts that are read where they lie."""
+    held, batch = held_and_batch(spark, sf)
+    return _bucketed(spark, held).unmatched(batch)
+
+
+@query(
+    "insert_or_ignore_bucketed",
+    sql_with(
+        f"SELECT * FROM held UNION ALL SELECT * FROM n WHERE when_captured >= {ts(HELD_UNTIL)}",
+        "m",
+        held=HELD,
+        n=BATCH,
+    ),
+)
+def insert_or_ignore_bucketed(spark, sf):
+    """The table of facts after a batch that repeats itself and overlaps it."""
+    held, batch = held_and_batch(spark, sf)
+    again = batch.withColumn("bat_voltage", F.lit("9.9"))
+    twice = batch.withColumn("pos", F.lit(0)).unionByName(again.withColumn("pos", F.lit(1)))
+    table = _bucketed(spark, held.withColumn("pos", F.lit(0)))
+    table.insert_or_ignore(twice, ["pos"])
+    return table.facts().select(*MEASUREMENT_COLUMNS)
+
+
 @query(
     "sink_append_new",
     sql_with(

@@ -7,7 +7,7 @@ from datetime import datetime
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from ..functions.casting import to_double
 from ..functions.cleaning import safe_name
 from ..operators.dedupe import merge_history
 from ..operators.filters import last
-from ..tables import storage
+from ..tables.slots import SLOT, Slots
 
 # The sensor feeds' names and the column each one reads.
 SENSOR_FEEDS = (
@@ -26,6 +26,9 @@ SENSOR_FEEDS = (
 )
 ALL_DEVICES = "all"
 
+# Buckets of devices that an export of single devices is rewritten by.
+EXPORT_BUCKETS = 64
+
 
 # Writers cut zone-less times to milliseconds unless told otherwise.
 MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -98,28 +101,58 @@ def per_device_history(held: DataFrame, incoming: DataFrame) -> DataFrame:
     return merge_history(held, known, order)
 
 
+def _device_slots(spark: SparkSession, path: str, schema: T.StructType) -> Slots:
+    """The exported histories, in hash buckets of devices and a folder for each device."""
+    order = [F.col(SLOT), F.col("device_file"), F.col("when_captured").desc()]
+    return Slots(
+        spark,
+        path,
+        schema,
+        kind="json",
+        options=MICROS,
+        inner=("device_file",),
+        arrange=lambda rows: rows.repartitionByRange(*order).sortWithinPartitions(*order),
+    )
+
+
+def _device_slot(file: Column) -> Column:
+    return F.pmod(F.xxhash64(file), F.lit(EXPORT_BUCKETS)).cast("string")
+
+
 def held_per_device(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """What the newest finished export under ``path`` holds; None before the first."""
-    found = sorted(int(name.split("=")[1]) for name in storage.committed(spark, path))
-    if not found:
-        return None
-    return spark.read.schema(schema).options(**MICROS).json(f"{path}/export={found[-1]}")
+    """What the exported files hold; None before the first export."""
+    table = _device_slots(spark, path, schema)
+    return table.read() if table.versions() else None
+
+
+def device_folder(spark: SparkSession, path: str, device_urn: str) -> str:
+    """The folder with a device's newest exported files; it exists if the device has readings."""
+    file = safe_name(F.lit(device_urn))
+    name, slot = spark.range(1).select(file, _device_slot(file)).first()
+    return f"{_device_slots(spark, path, T.StructType()).folder(slot)}/device_file={name}"
 
 
 def update_per_device(incoming: DataFrame, path: str) -> None:
     """Add new readings to the exported files, again and again.
 
-    The files written last are read, merged with what is new, and written
-    beside them; the old ones go once the new ones are complete. An export that
-    dies leaves the old files as they were.
+    Only the buckets of devices that have sent something are read, merged and written
+    beside their old files, which stay until the next but one export of the bucket.
+    An export that dies leaves the files as they were.
     """
     spark = incoming.sparkSession
-    before = [int(name.split("=")[1]) for name in storage.committed(spark, path)]
-    held = held_per_device(spark, path, incoming.schema)
-    rows = incoming.limit(0) if held is None else held.select(*incoming.columns)
-    write_per_device(per_device_history(rows, incoming), f"{path}/export={max(before, default=0) + 1}")
-    for n in before:
-        storage.delete(spark, f"{path}/export={n}")
+    named = T.StructType([*incoming.schema.fields, T.StructField("device_file", T.StringType())])
+    table = _device_slots(spark, path, named)
+    known = incoming.filter(F.col("device_urn").isNotNull() & (F.col("device_urn") != ""))
+
+    def filed(rows: DataFrame) -> DataFrame:
+        file = safe_name(F.col("device_urn"))
+        return rows.withColumn("device_file", file).withColumn(SLOT, _device_slot(file))
+
+    def merge(held: DataFrame, changed: DataFrame) -> DataFrame:
+        columns = incoming.columns
+        return filed(per_device_history(held.select(*columns), changed.select(*columns)))
+
+    table.merge(max(table.versions(), default=0) + 1, filed(known), merge)
 
 
 def sensor_feeds(df: DataFrame, as_of: datetime) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import ingest
-from ..schema import FEED
+from ..schema import CORRUPT, FEED
 from ..tables.lake import TelemetryTables
 
 EXACT = "batch_id"
@@ -49,8 +49,12 @@ def read_feed(
     schema: T.StructType = FEED,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """The landing folder as a stream of feed objects and their places."""
-    reader = spark.readStream.schema(schema)
+    """The landing folder as a stream of feed objects and their places.
+
+    A line that does not parse is a row with its text and nothing else.
+    """
+    audited = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(audited).option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path).withColumn(PLACE, _place())
@@ -95,9 +99,16 @@ def stream_ingest(
     clock: Clock,
     continuous: str | None = None,
 ) -> StreamingQuery:
-    """Dedupe, clean and type each batch by itself."""
+    """Dedupe, clean and type each batch by itself.
+
+    Lines that did not parse are kept as text beside ``path``, in ``path-torn``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if CORRUPT in batch.columns:
+            torn = batch.filter(F.col(CORRUPT).isNotNull())
+            torn.select("device_urn", F.col(CORRUPT).alias("line")).write.mode("overwrite").parquet(f"{path}-torn/{EXACT}={batch_id}")
+            batch = batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         rows = ingest(positioned(batch), now(clock)).drop("pos")
         rows.write.mode("overwrite").parquet(f"{path}/{EXACT}={batch_id}")
 

@@ -5,7 +5,9 @@ Layout under one root folder::
     measurements/day=D/             facts; the load number is a column
     hourly_summary/day=D/version=N/ hourly state of one day as of load N
     daily_summary/day=D/version=N/  daily state of one day as of load N
-    quarantine/load=N/              rows without a key, or from the future
+    devices/slot=B/version=N/       one row for each device, in hash buckets
+    active/slot=D/version=N/        bitmaps of each hour's devices, by country
+    quarantine/load=N/              torn lines, rows without a key or from the future
     attempts/load=N/                load N was begun
     sync_state/version=N/           the watermark and the number of facts
     loads/version=N/                batches brought in, loads that died
@@ -16,14 +18,15 @@ fall on, and then writes its manifest. Readers resolve the newest manifest, so
 they see a load wholly or not at all, and only touched days are ever
 rewritten. The table numbers its loads itself. Each batch is named by its
 source and its number there, and a batch that was published is not brought in
-again. A load that dies leaves facts that no reader and no later load sees;
+again, in whatever order they come. A load that dies leaves facts that no reader and no later load sees;
 its number is not used again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,15 +34,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import materialise
-from ..functions.timebuckets import EPOCH, day_of, hour_of, moment
+from ..functions.timebuckets import EPOCH, day_of, epoch_days, hour_ceil, hour_floor, hour_of, moment
 from ..operators.dedupe import insert_or_ignore, split_keyed
-from ..operators.filters import TIME, last
-from ..operators.latest import latest_by_device
-from ..operators.rollups import STATE, bucket_state, daily_from_hourly, merge_state, summary
+from ..operators.filters import TIME, last, time_filter
+from ..operators.devices import DEVICES, device_slots, device_state, merge_devices, renumbered
+from ..operators.distinct import BITMAP, count_bitmaps, device_bitmaps, merge_bitmaps
+from ..operators.latest import LATEST_ROW, latest_by_device
+from ..operators.rollups import (
+    STATE,
+    bucket_state,
+    daily_from_hourly,
+    merge_state,
+    radiation_moments,
+    summary,
+)
 from ..operators.tables import empty_relation
 from ..plans.ingest import ingest
-from ..schema import MEASUREMENT_COLUMNS, MEASUREMENTS, ROLLUP_KEYS
+from ..schema import CORRUPT, MEASUREMENT_COLUMNS, MEASUREMENTS, ROLLUP_KEYS
 from . import storage
+from .slots import Slots
 
 FACTS = "measurements"
 HOURLY = "hourly_summary"
@@ -69,6 +82,14 @@ _LOADS = T.StructType(
         T.StructField("number", T.LongType()),
     ]
 )
+_ASIDE = T.StructType(
+    [
+        *MEASUREMENTS.fields,
+        T.StructField("reason", T.StringType()),
+        T.StructField("line", T.StringType()),
+        T.StructField("load", T.LongType()),
+    ]
+)
 # How the columns of the small tables above are built on the driver.
 _ARROW = {
     "string": pa.string(),
@@ -81,10 +102,7 @@ _ARROW = {
 def _state_schema(*bucket: T.StructField) -> T.StructType:
     text = [T.StructField(k, T.StringType()) for k in ROLLUP_KEYS[:4]]
     place = [T.StructField(k, T.DoubleType()) for k in ROLLUP_KEYS[4:]]
-    counts = ("reading_count", "radiation_n", "temp_n")
-    state = [
-        T.StructField(name, T.LongType() if name in counts else T.DoubleType()) for name in STATE
-    ]
+    state = [T.StructField(name, kind) for name, kind in STATE.items()]
     days = [T.StructField("day", T.DateType()), T.StructField("version", T.LongType())]
     return T.StructType([*bucket, *text, *place, *state, *days])
 
@@ -95,6 +113,14 @@ _SCHEMAS = {
 }
 
 
+_ACTIVE = T.StructType([T.StructField("hour", T.TimestampNTZType()), MEASUREMENTS["loc_country"], *BITMAP.fields])
+
+
+def _merge_active(held: DataFrame, changed: DataFrame) -> DataFrame:
+    both = held.withColumn("slot", F.to_date("hour").cast("string")).unionByName(changed)
+    return merge_bitmaps(both, "slot", "hour", "loc_country")
+
+
 class TelemetryTables:
     """Reads and maintains the tables under one root. One writer at a time."""
 
@@ -139,24 +165,116 @@ class TelemetryTables:
     ) -> DataFrame:
         return summary(self._state(DAILY, version, since, until), "day")
 
+    def daily_state(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """Mergeable state of the days in a range, for rollups of any set of them."""
+        return self._state(DAILY, None, since, until)
+
     def recent(self, as_of: datetime, days: int = 7, version: int | None = None) -> DataFrame:
         """Raw rows of the last days; a pruned scan of the facts."""
         return last(self.facts(version), as_of, days=days)
 
     def latest(self, version: int | None = None) -> DataFrame:
-        """Newest reading per device, from only the days that hold one.
+        """Newest reading per device, from the table that each load merges it into.
 
-        The daily rollup tells each device's last day; the facts are read for
-        those days, and of those only the devices that end there.
+        An older version is looked up in the facts: the daily rollup tells each
+        device's last day, and only those days are read.
         """
         version = self._resolve(version)
+        if version == self.current():
+            return self.devices().select(*LATEST_ROW)
         ends = self._state(DAILY, version).groupBy("device_urn").agg(F.max("day").alias("day"))
         days = self._days(ends)
         rows = self.facts(version).filter(F.col("day").isin(days))
         return latest_by_device(rows.join(ends, ["device_urn", "day"], "left_semi"))
 
+    def devices(self) -> DataFrame:
+        """A row for each device, as of the newest version: its newest reading, its first time,
+        how many readings it has, and the moments of its positive counts."""
+        version = self._resolve(None)
+        return self._device_table().read(upto=version, without=self._loads(version)[1])
+
+    def radiation_stats(self) -> DataFrame:
+        """Mean and deviation of each device's positive counts of all time; no fact is read."""
+        return radiation_moments(self.devices(), "device_urn")
+
+    def _active_of(self, facts: DataFrame, version: int, dead: set[int]) -> DataFrame:
+        """Bitmaps of the devices of some facts, whose numbers the device table has as of ``version``."""
+        table = self._device_table()
+        numbers = table.read(upto=version, without=dead).select(F.col("device_urn").alias("_device"), "number")
+        hours = facts.select(hour_of(TIME).alias("hour"), "loc_country", "device_urn").distinct()
+        known = hours.join(numbers, hours["device_urn"].eqNullSafe(numbers["_device"]))
+        return device_bitmaps(known, "hour", "loc_country").withColumn("slot", F.to_date("hour").cast("string"))
+
+    def active(self, since: datetime, until: datetime) -> DataFrame:
+        """Bitmaps of the devices of each whole hour in [since, until), by country."""
+        version = self._resolve(None)
+        days = {str(since.date() + timedelta(days=n)) for n in range((until.date() - since.date()).days + 1)}
+        rows = self._active_table().read(upto=version, without=self._loads(version)[1], slots=days)
+        return rows.filter((F.col("hour") >= moment(hour_ceil(since))) & (F.col("hour") < moment(hour_floor(until))))
+
+    def hourly_active_devices(self, frm: datetime, to: datetime) -> DataFrame:
+        """Distinct devices of each hour of a range, both ends included. Facts are read for the hours
+        at its ends only."""
+        whole = count_bitmaps(self.active(frm, to), "hour", name="active_devices")
+        ends = self._hour_ends(frm, to).groupBy(hour_of(TIME).alias("hour"))
+        ends = ends.agg(F.count_distinct("device_urn").alias("active_devices"))
+        return whole.unionByName(ends).withColumnRenamed("hour", "time").orderBy("time")
+
+    def device_count(self, frm: datetime, to: datetime, *keys: str) -> DataFrame:
+        """Distinct devices of a range, both ends included; ``keys`` may name loc_country."""
+        ends = self._hour_ends(frm, to)
+        version = self._resolve(None)
+        few = self._active_of(ends, version, self._loads(version)[1])
+        state = self.active(frm, to).unionByName(few.select(*_ACTIVE.names))
+        return count_bitmaps(state, *keys, name="device_count")
+
+    def _hour_ends(self, frm: datetime, to: datetime) -> DataFrame:
+        """Facts of a range that lie outside its whole hours."""
+        first, end = moment(hour_ceil(frm)), moment(hour_floor(to))
+        rows = time_filter(self.facts(), frm, to)
+        days = sorted({frm.date(), to.date()})
+        return rows.filter(F.col("day").isin(days) & ((F.col(TIME) < first) | (F.col(TIME) >= end)))
+
+    def range_state(self, frm: datetime, to: datetime) -> DataFrame:
+        """Daily state of a range, both ends included: of whole days the tables', and of the days at its
+        ends that of their facts in the range."""
+        first = frm.date() if frm == datetime.combine(frm.date(), datetime.min.time()) else frm.date() + timedelta(days=1)
+        last_day = to.date() - timedelta(days=1)
+        held = {
+            day: version
+            for (table, day), version in self._manifest(self._resolve(None)).items()
+            if table == DAILY and first <= day <= last_day
+        }
+        whole = self._state_days(DAILY, list(held.items()))
+        ends = time_filter(self.facts(), frm, to).filter(F.col("day").isin(sorted({frm.date(), to.date()} - set(held))))
+        made = bucket_state(ends.drop("day"), day_of(TIME), "day")
+        return whole.select("day", *ROLLUP_KEYS, *STATE).unionByName(made)
+
+    def device_uptime(self, frm: datetime, to: datetime) -> DataFrame:
+        """First and last reading, and their number, of each device in a range, from state."""
+        rows = self.range_state(frm, to).groupBy("device_urn").agg(
+            F.min("first_at").alias("first_seen"),
+            F.max("last_at").alias("last_seen"),
+            F.sum("reading_count").alias("total_readings"),
+        )
+        return rows.withColumn("days_active", epoch_days(F.col("last_seen"), F.col("first_seen")))
+
+    def daily_activity(self, frm: datetime, to: datetime) -> DataFrame:
+        """Readings and distinct devices of each day of a range, from state."""
+        days = self.range_state(frm, to).groupBy("day")
+        return days.agg(
+            F.sum("reading_count").alias("readings_per_day"), F.count_distinct("device_urn").alias("active_devices")
+        )
+
+    def _active_table(self) -> Slots:
+        return Slots(self.spark, f"{self.root}/active", _ACTIVE)
+
+    def _device_table(self) -> Slots:
+        return Slots(self.spark, f"{self.root}/devices", DEVICES)
+
     def quarantine(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/quarantine")
+        """What was set aside, with the reason, the load, and the text of a line that did not parse."""
+        return self.spark.read.schema(_ASIDE).parquet(f"{self.root}/quarantine")
 
     def sync_state(self, version: int | None = None) -> DataFrame:
         """The watermark of a version; an empty relation before the first."""
@@ -181,13 +299,16 @@ class TelemetryTables:
         files = self._files().filter(F.col("load") <= found)
         return files.filter(~F.col("load").isin(dead)) if dead else files
 
-    def _loads(self, version: int | None) -> tuple[dict[str, int], set[int]]:
-        """The newest batch of each source, and the loads that died, as of a version."""
+    def _loads(self, version: int | None) -> tuple[dict[str, set[int]], set[int]]:
+        """The batches of each source, and the loads that died, as of a version."""
         if version is None:
             return {}, set()
         path = f"{self.root}/loads/version={version}"
         rows = self.spark.read.schema(_LOADS).parquet(path).collect()
-        batches = {r.source: r.number for r in rows if r.kind == "batch"}
+        batches: dict[str, set[int]] = {}
+        for r in rows:
+            if r.kind == "batch":
+                batches.setdefault(r.source, set()).add(r.number)
         return batches, {r.number for r in rows if r.kind == "dead"}
 
     def _begun(self) -> set[int]:
@@ -250,12 +371,14 @@ class TelemetryTables:
     ) -> dict:
         """Bring in one feed, the ``batch`` of its ``source``, and publish the result.
 
-        The batches of a source come in order. One that is not after the newest
-        published one of the same source changes nothing, so a feed may be sent
-        again; other sources count for themselves. Returns the load's row counts
-        and watermarks, and the version it became.
+        A batch that is published already changes nothing, so a feed may be sent
+        again, and one with a lower number may come late; other sources count for
+        themselves. Lines that did not parse, in a feed read with their texts, are
+        set aside. Returns the load's row counts and watermarks, and the version it became.
         """
         def typed(rows: DataFrame) -> DataFrame:
+            if CORRUPT in rows.columns:
+                rows = rows.filter(F.col(CORRUPT).isNull())
             return ingest(rows, batch_time or as_of, position)
 
         return self._bring(feed, typed, batch, as_of, position, source)
@@ -268,7 +391,7 @@ class TelemetryTables:
         touch are read; nothing new there changes nothing here.
         """
         source, newest = f"tables:{other.root}", other._resolve(None)
-        seen = self._loads(self.current())[0].get(source, 0)
+        seen = max(self._loads(self.current())[0].get(source, {0}))
         rows = other._fact_files(newest).filter(F.col("load") > seen)
         fresh = rows.select(*MEASUREMENT_COLUMNS, F.lit(0).alias("pos"))
         return self._bring(fresh, lambda rows: rows, newest, as_of, "pos", source)
@@ -284,7 +407,7 @@ class TelemetryTables:
     ) -> dict:
         held_version = self.current()
         batches, dead = self._loads(held_version)
-        if source in batches and batch <= batches[source]:
+        if batch in batches.get(source, ()):
             return {"version": held_version, "new": 0, "skipped": True}
 
         version, died = self._begin(held_version)
@@ -296,13 +419,16 @@ class TelemetryTables:
         fit, unfit = split_keyed(self.spark.read.parquet(staging), as_of)
         per_day = {r.day: r["count"] for r in fit.groupBy("day").count().collect()}
         days = sorted(per_day)
-        unfit.drop(position, "day").write.mode("overwrite").parquet(
-            f"{self.root}/quarantine/load={version}"
-        )
-        set_aside = self.spark.read.parquet(f"{self.root}/quarantine/load={version}").count()
-        self._append(fit, days, version, held_version, position)
-        own = self._files().filter(F.col("day").isin(days) & (F.col("load") == version))
-        self._merge(own, days, version, held_version)
+        dead_now = dead | died
+        with ThreadPoolExecutor(3) as pool:  # jobs that do not wait for each other
+            setting_aside = pool.submit(self._set_aside, feed, unfit, version)
+            self._append(fit, days, version, held_version, position)
+            own = self._files().filter(F.col("day").isin(days) & (F.col("load") == version))
+            merging = pool.submit(self._merge, own, days, version, held_version)
+            self._merge_devices(own, version, dead_now)
+            merging.result()
+            aside = setting_aside.result()
+        set_aside = sum(aside.values())
 
         added = own.agg(
             F.count(F.lit(1)).alias("new"),
@@ -312,13 +438,13 @@ class TelemetryTables:
         old_mark = before.last_sync_timestamp if before else datetime.fromisoformat(EPOCH)
         new_mark = max(old_mark, added.newest or old_mark)
         total = (before.total_rows if before else 0) + added.new
-        loads = {**batches, source: batch}, dead | died
+        loads = {**batches, source: batches.get(source, set()) | {batch}}, dead_now
         self._publish(version, held_version, days, new_mark, total, loads)
         storage.delete(self.spark, staging)
         return {
             "version": version,
             "fetched": fetched.get["rows"],
-            "valid": sum(per_day.values()) + set_aside,
+            "valid": sum(per_day.values()) + set_aside - aside.get("torn", 0),
             "quarantined": set_aside,
             "new": added.new,
             "total": total,
@@ -327,6 +453,30 @@ class TelemetryTables:
             "skipped": False,
         }
 
+    def _merge_devices(self, new: DataFrame, version: int, dead: set[int]) -> None:
+        """Bring what new facts add into the table of devices, and then into that of active ones."""
+        self._device_table().merge(version, device_slots(device_state(new)), merge_devices, dead)
+        self._active_table().merge(version, self._active_of(new, version, dead), _merge_active, dead)
+
+    def _set_aside(self, feed: DataFrame, unfit: DataFrame, version: int) -> dict[str, int]:
+        """Keep what can't be a fact, with the reason; how many rows there are for each."""
+        none = F.lit(None).cast("string")
+        keyless = F.col("device").isNull() | F.col(TIME).isNull()
+        reason = F.when(keyless, "keyless").otherwise("future").alias("reason")
+        rows = unfit.select(*MEASUREMENT_COLUMNS, reason, none.alias("line"))
+        if CORRUPT in feed.columns:
+            torn = feed.filter(F.col(CORRUPT).isNotNull())
+            # Of a line's fields only the device's name is taken, if it came before the tear.
+            known = [
+                F.col(f.name) if f.name == "device_urn" else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in MEASUREMENTS.fields
+            ]
+            rows = rows.unionByName(torn.select(*known, F.lit("torn").alias("reason"), F.col(CORRUPT).alias("line")))
+        path = f"{self.root}/quarantine/load={version}"
+        rows.write.mode("overwrite").parquet(path)
+        kept = self.spark.read.schema(T.StructType(_ASIDE.fields[:-1])).parquet(path)
+        return {r.reason: r["count"] for r in kept.groupBy("reason").count().collect()}
+
     def _days(self, rows: DataFrame) -> list[date]:
         """Calendar days of some rows, to prune partitions with literals."""
         return sorted(r.day for r in rows.select("day").distinct().collect())
@@ -365,11 +515,17 @@ class TelemetryTables:
         hours = bucket_state(new, hour_of(TIME), "hour")
         both = hours.unionByName(held(HOURLY, hours.columns))
         merged = merge_state(both, F.col("hour"), "hour").withColumn("day", day_of("hour"))
-        self._write_state(HOURLY, merged, version)
+        # Hours before the retained ones are not kept; of a late reading only its day is.
+        self._write_state(HOURLY, merged.filter(F.col("day") >= F.lit(self._hours_from().isoformat()).cast("date")), version)
         daily = daily_from_hourly(hours)
         both = daily.unionByName(held(DAILY, daily.columns))
         self._write_state(DAILY, merge_state(both, F.col("day"), "day"), version)
 
+    def _hours_from(self) -> date:
+        """The first day whose hours are kept."""
+        names = storage.children(self.spark, f"{self.root}/hours_from")
+        return max((date.fromisoformat(name.split("=")[1]) for name in names), default=date(1, 1, 1))
+
     def refresh(self, version: int, held_version: int) -> list[date]:
         """Recompute all rollups from the published facts, as ``version``.
 
@@ -387,8 +543,16 @@ class TelemetryTables:
         ]
         fresh = self._state_days(HOURLY, [(day, version) for day in days])
         self._write_state(DAILY, daily_from_hourly(fresh), version)
+        self._rebuild_devices(facts, version, self._loads(held_version)[1])
         return days
 
+    def _rebuild_devices(self, facts: DataFrame, version: int, dead: set[int]) -> None:
+        """The device table from facts alone; devices without facts leave it."""
+        table, active = self._device_table(), self._active_table()
+        held = materialise(table.read(upto=version - 1, without=dead), "devices")
+        table.replace(version, renumbered(device_state(facts), held), table.slots(), dead)
+        active.replace(version, self._active_of(facts, version, dead), active.slots(), dead)
+
     def _write_state(self, table: str, state: DataFrame, version: int) -> None:
         (
             state.withColumn("version", F.lit(version).cast("bigint"))
@@ -399,7 +563,7 @@ class TelemetryTables:
             .parquet(f"{self.root}/{table}")
         )
 
-    def _unused(self, version: int) -> tuple[int, tuple[dict[str, int], set[int]]]:
+    def _unused(self, version: int) -> tuple[int, tuple[dict[str, set[int]], set[int]]]:
         """The published version and its loads, if ``version`` is a number not used yet."""
         held, begun = self._resolve(None), self._begun()
         if version <= max([held, *begun]):
@@ -421,11 +585,13 @@ class TelemetryTables:
         days: list[date],
         mark: datetime,
         total: int,
-        loads: tuple[dict[str, int], set[int]],
+        loads: tuple[dict[str, set[int]], set[int]],
     ) -> None:
         """Write the watermark, then the manifest that makes the version visible."""
         entries = self._manifest(previous)
-        entries.update({(table, day): version for table in (HOURLY, DAILY) for day in days})
+        entries.update({(DAILY, day): version for day in days})
+        first = self._hours_from()
+        entries.update({(HOURLY, day): version for day in days if day >= first})
         self._write_manifest(version, entries, mark, total, loads)
 
     def _write_manifest(
@@ -434,11 +600,11 @@ class TelemetryTables:
         entries: dict[tuple[str, date], int],
         mark: datetime,
         total: int,
-        loads: tuple[dict[str, int], set[int]],
+        loads: tuple[dict[str, set[int]], set[int]],
     ) -> None:
         sync = {"table_name": [FACTS], "last_sync_timestamp": [mark], "total_rows": [total]}
         batches, dead = loads
-        known = [("batch", source, n) for source, n in sorted(batches.items())]
+        known = [("batch", source, n) for source, numbers in sorted(batches.items()) for n in sorted(numbers)]
         known += [("dead", "", n) for n in sorted(dead)]
         rows = [(table, day, v) for (table, day), v in sorted(entries.items())]
         for folder, schema, data in (
@@ -484,12 +650,26 @@ class TelemetryTables:
         entries = {key: v for key, v in self._manifest(held).items() if key[1] >= day}
         state = self.sync_state(held).first()
         left = self._fact_files(held).filter(F.col("day") >= F.lit(day)).count()
+        kept = self._fact_files(held).filter(F.col("day") >= F.lit(day))
+        self._rebuild_devices(kept, version, loads[1])
         self._write_manifest(version, entries, state.last_sync_timestamp, left, loads)
         self.expire(keep=1)
         for name in storage.children(self.spark, f"{self.root}/{FACTS}"):
             if name.startswith("day=") and date.fromisoformat(name.split("=")[1]) < day:
                 storage.delete(self.spark, f"{self.root}/{FACTS}/{name}")
 
+    def drop_hours_before(self, day: date, version: int) -> None:
+        """Retention of the hourly rollup alone: publish a version without its days before ``day``.
+
+        Facts and daily state stay. Late readings of those days still change their day,
+        and a rebuild does not bring the hours back.
+        """
+        held, loads = self._unused(version)
+        storage.make(self.spark, f"{self.root}/hours_from/day={day.isoformat()}")
+        entries = {(t, d): v for (t, d), v in self._manifest(held).items() if t != HOURLY or d >= day}
+        state = self.sync_state(held).first()
+        self._write_manifest(version, entries, state.last_sync_timestamp, state.total_rows, loads)
+
     def compact(self, days: list[date]) -> None:
         """Rewrite closed days as few files ordered by device and time.
 

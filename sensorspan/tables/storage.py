@@ -33,6 +33,12 @@ def make(spark: SparkSession, path: str) -> None:
     fs.mkdirs(location)
 
 
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, by one listing."""
+    fs, location = _path(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(location) or [])
+
+
 def committed(spark: SparkSession, path: str) -> list[str]:
     """Folders in ``path`` whose writer has finished, by one listing."""
     fs, location = _path(spark, f"{path}/*/_SUCCESS")
