@@ -10,7 +10,7 @@ from ..schema import MEASUREMENTS
 from .latest import LATEST_COLUMNS, latest_by_device, latest_order
 from .rollups import EXACT, MOMENTS, STATE, state_columns, whole_sum
 
-BUCKETS = 64
+BUCKETS = 16
 SLOT = "slot"
 
 _NEWEST = [
@@ -51,6 +51,22 @@ def device_state(facts: DataFrame) -> DataFrame:
     return joined.withColumn("number", F.lit(None).cast("long")).select(*DEVICES.names)
 
 
+def device_rows(facts: DataFrame) -> DataFrame:
+    """Each fact as the row of a device that has sent nothing else; ``merge_devices`` adds them up."""
+    positive = F.col("lnd_7318u") > 0
+    value = F.when(positive, F.col("lnd_7318u")).otherwise(0).cast("decimal(19,0)")
+    extra = {
+        "first_reading": F.col("last_reading"),
+        "reading_count": F.lit(1).cast("long"),
+        "positive_n": F.coalesce(positive, F.lit(False)).cast("long"),
+        "positive_sum": value.cast(EXACT),
+        "positive_squares": (value * value).cast(EXACT),
+        "number": F.lit(None).cast("long"),
+    }
+    named = {"radiation": F.col("lnd_7318u"), "last_reading": F.col("when_captured")}
+    return facts.withColumns(named).withColumns(extra).select(*DEVICES.names)
+
+
 def renumbered(rows: DataFrame, held: DataFrame) -> DataFrame:
     """Rows made anew, with the numbers that their devices have in ``held``; new ones get new numbers."""
     known = held.select(F.col("device_urn").alias("_device"), F.col("number").alias("_number"))
@@ -76,7 +92,7 @@ def merge_devices(held: DataFrame, changed: DataFrame) -> DataFrame:
 def _numbered(rows: DataFrame) -> DataFrame:
     """New devices of a bucket get the numbers after those that its devices have.
 
-    The devices of bucket b have the numbers b, b + 64, b + 128 and so on, so buckets are numbered alone.
+    The devices of bucket b have the numbers b, b + 16, b + 32 and so on, so buckets are numbered alone.
     """
     bucket = Window.partitionBy(SLOT)
     new = F.row_number().over(Window.partitionBy(SLOT, F.col("number").isNull()).orderBy("device_urn")) - 1

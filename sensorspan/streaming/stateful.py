@@ -13,6 +13,7 @@ replaces what it wrote.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -73,6 +74,23 @@ def _start(rows: DataFrame, write, mode: str, checkpoint: str, continuous: str |
     return writer.start()
 
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+@contextmanager
+def _batches_with_rows_only(spark: SparkSession) -> Iterator[None]:
+    """A stream that starts here makes no batch without rows.
+
+    State that times out by the clock would ask for one after another, without an end.
+    """
+    before = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, before)
+
+
 def _once(rows: DataFrame, bound: timedelta) -> DataFrame:
     """The first arrival of every key whose time is within ``bound`` of the newest."""
     return rows.withWatermark(EVENT_TIME, _interval(bound)).dropDuplicatesWithinWatermark(list(FACT_KEY))
@@ -308,7 +326,8 @@ def stream_newest(
         table.merge(batch_id, device_slots(spark.read.schema(NEWEST).parquet(staging)), merge_newest)
         storage.delete(spark, staging)
 
-    return _start(updates, write, "update", checkpoint, continuous)
+    with _batches_with_rows_only(spark):
+        return _start(updates, write, "update", checkpoint, continuous)
 
 
 def read_newest(spark: SparkSession, path: str) -> DataFrame:

@@ -37,7 +37,7 @@ from ..config import materialise
 from ..functions.timebuckets import EPOCH, day_of, epoch_days, hour_ceil, hour_floor, hour_of, moment
 from ..operators.dedupe import insert_or_ignore, split_keyed
 from ..operators.filters import TIME, last, time_filter
-from ..operators.devices import DEVICES, device_slots, device_state, merge_devices, renumbered
+from ..operators.devices import DEVICES, device_rows, device_slots, device_state, merge_devices, renumbered
 from ..operators.distinct import BITMAP, count_bitmaps, device_bitmaps, merge_bitmaps
 from ..operators.latest import LATEST_ROW, latest_by_device
 from ..operators.rollups import (
@@ -455,7 +455,7 @@ class TelemetryTables:
 
     def _merge_devices(self, new: DataFrame, version: int, dead: set[int]) -> None:
         """Bring what new facts add into the table of devices, and then into that of active ones."""
-        self._device_table().merge(version, device_slots(device_state(new)), merge_devices, dead)
+        self._device_table().merge(version, device_slots(device_rows(new)), merge_devices, dead)
         self._active_table().merge(version, self._active_of(new, version, dead), _merge_active, dead)
 
     def _set_aside(self, feed: DataFrame, unfit: DataFrame, version: int) -> dict[str, int]:
