@@ -123,14 +123,14 @@ def _shared(spark, sf) -> TelemetryTables:
     """The tables after two loads, loaded once per application for all readers."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _SHARED:
-        _SHARED[key] = _loaded(spark, sf, "shared").root
-    return TelemetryTables(spark, _SHARED[key])
+        _SHARED[key] = _loaded(spark, sf, "shared", active=True).root
+    return TelemetryTables(spark, _SHARED[key], active=True)
 
 
-def _loaded(spark, sf, name: str) -> TelemetryTables:
+def _loaded(spark, sf, name: str, active: bool = False) -> TelemetryTables:
     """The tables after two loads: held readings, then a feed that overlaps
     them and brings readings from long before."""
-    lake = TelemetryTables(spark, scratch_path(spark, name))
+    lake = TelemetryTables(spark, scratch_path(spark, name), active)
     facts = measurements(spark, sf)
     late = F.col("lnd_7128ec") != "0"
     sent = facts.select(

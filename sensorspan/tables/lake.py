@@ -6,7 +6,7 @@ Layout under one root folder::
     hourly_summary/day=D/version=N/ hourly state of one day as of load N
     daily_summary/day=D/version=N/  daily state of one day as of load N
     devices/slot=B/version=N/       one row for each device, in hash buckets
-    active/slot=D/version=N/        bitmaps of each hour's devices, by country
+    active/slot=D/version=N/        bitmaps of each hour's devices
     quarantine/load=N/              torn lines, rows without a key or from the future
     attempts/load=N/                load N was begun
     sync_state/version=N/           the watermark and the number of facts
@@ -113,20 +113,25 @@ _SCHEMAS = {
 }
 
 
-_ACTIVE = T.StructType([T.StructField("hour", T.TimestampNTZType()), MEASUREMENTS["loc_country"], *BITMAP.fields])
+_ACTIVE = T.StructType([T.StructField("hour", T.TimestampNTZType()), *BITMAP.fields])
 
 
 def _merge_active(held: DataFrame, changed: DataFrame) -> DataFrame:
     both = held.withColumn("slot", F.to_date("hour").cast("string")).unionByName(changed)
-    return merge_bitmaps(both, "slot", "hour", "loc_country")
+    return merge_bitmaps(both, "slot", "hour")
 
 
 class TelemetryTables:
-    """Reads and maintains the tables under one root. One writer at a time."""
+    """Reads and maintains the tables under one root. One writer at a time.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``active`` loads also keep a bitmap of each hour's devices, a hundredth of the
+    hourly rollup, from which distinct devices of long ranges are counted. All loads of a root have to agree on it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, active: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keeps_active = active
 
     # Reading ------------------------------------------------------------
 
@@ -201,12 +206,12 @@ class TelemetryTables:
         """Bitmaps of the devices of some facts, whose numbers the device table has as of ``version``."""
         table = self._device_table()
         numbers = table.read(upto=version, without=dead).select(F.col("device_urn").alias("_device"), "number")
-        hours = facts.select(hour_of(TIME).alias("hour"), "loc_country", "device_urn").distinct()
+        hours = facts.select(hour_of(TIME).alias("hour"), "device_urn").distinct()
         known = hours.join(numbers, hours["device_urn"].eqNullSafe(numbers["_device"]))
-        return device_bitmaps(known, "hour", "loc_country").withColumn("slot", F.to_date("hour").cast("string"))
+        return device_bitmaps(known, "hour").withColumn("slot", F.to_date("hour").cast("string"))
 
     def active(self, since: datetime, until: datetime) -> DataFrame:
-        """Bitmaps of the devices of each whole hour in [since, until), by country."""
+        """Bitmaps of the devices of each whole hour in [since, until)."""
         version = self._resolve(None)
         days = {str(since.date() + timedelta(days=n)) for n in range((until.date() - since.date()).days + 1)}
         rows = self._active_table().read(upto=version, without=self._loads(version)[1], slots=days)
@@ -215,18 +220,33 @@ class TelemetryTables:
     def hourly_active_devices(self, frm: datetime, to: datetime) -> DataFrame:
         """Distinct devices of each hour of a range, both ends included. Facts are read for the hours
         at its ends only."""
-        whole = count_bitmaps(self.active(frm, to), "hour", name="active_devices")
+        distinct = F.count_distinct("device_urn").alias("active_devices")
+        if self.keeps_active:
+            whole = count_bitmaps(self.active(frm, to), "hour", name="active_devices")
+        else:
+            whole = self._whole_hours(frm, to).groupBy("hour").agg(distinct)
         ends = self._hour_ends(frm, to).groupBy(hour_of(TIME).alias("hour"))
-        ends = ends.agg(F.count_distinct("device_urn").alias("active_devices"))
+        ends = ends.agg(distinct)
         return whole.unionByName(ends).withColumnRenamed("hour", "time").orderBy("time")
 
     def device_count(self, frm: datetime, to: datetime, *keys: str) -> DataFrame:
-        """Distinct devices of a range, both ends included; ``keys`` may name loc_country."""
+        """Distinct devices of a range, both ends included.
+
+        All of them are counted by bitmaps, if there are any; else, and by ``keys``, columns of the
+        rollups, by the daily state.
+        """
+        if keys or not self.keeps_active:
+            return self.range_state(frm, to).groupBy(*keys).agg(F.count_distinct("device_urn").alias("device_count"))
         ends = self._hour_ends(frm, to)
         version = self._resolve(None)
         few = self._active_of(ends, version, self._loads(version)[1])
         state = self.active(frm, to).unionByName(few.select(*_ACTIVE.names))
-        return count_bitmaps(state, *keys, name="device_count")
+        return count_bitmaps(state, name="device_count")
+
+    def _whole_hours(self, frm: datetime, to: datetime) -> DataFrame:
+        """Hourly state of the whole hours in [frm, to)."""
+        state = self._state(HOURLY, None, frm, to)
+        return state.filter((F.col("hour") >= moment(hour_ceil(frm))) & (F.col("hour") < moment(hour_floor(to))))
 
     def _hour_ends(self, frm: datetime, to: datetime) -> DataFrame:
         """Facts of a range that lie outside its whole hours."""
@@ -456,7 +476,8 @@ class TelemetryTables:
     def _merge_devices(self, new: DataFrame, version: int, dead: set[int]) -> None:
         """Bring what new facts add into the table of devices, and then into that of active ones."""
         self._device_table().merge(version, device_slots(device_rows(new)), merge_devices, dead)
-        self._active_table().merge(version, self._active_of(new, version, dead), _merge_active, dead)
+        if self.keeps_active:
+            self._active_table().merge(version, self._active_of(new, version, dead), _merge_active, dead)
 
     def _set_aside(self, feed: DataFrame, unfit: DataFrame, version: int) -> dict[str, int]:
         """Keep what can't be a fact, with the reason; how many rows there are for each."""
@@ -512,14 +533,18 @@ class TelemetryTables:
             known = [(day, entries[table, day]) for day in days if (table, day) in entries]
             return self._state_days(table, known).select(columns)
 
-        hours = bucket_state(new, hour_of(TIME), "hour")
+        hours = bucket_state(new, hour_of(TIME), "hour").persist()
         both = hours.unionByName(held(HOURLY, hours.columns))
         merged = merge_state(both, F.col("hour"), "hour").withColumn("day", day_of("hour"))
         # Hours before the retained ones are not kept; of a late reading only its day is.
-        self._write_state(HOURLY, merged.filter(F.col("day") >= F.lit(self._hours_from().isoformat()).cast("date")), version)
+        merged = merged.filter(F.col("day") >= F.lit(self._hours_from().isoformat()).cast("date"))
         daily = daily_from_hourly(hours)
         both = daily.unionByName(held(DAILY, daily.columns))
-        self._write_state(DAILY, merge_state(both, F.col("day"), "day"), version)
+        with ThreadPoolExecutor(1) as pool:
+            writing = pool.submit(self._write_state, HOURLY, merged, version)
+            self._write_state(DAILY, merge_state(both, F.col("day"), "day"), version)
+            writing.result()
+        hours.unpersist()
 
     def _hours_from(self) -> date:
         """The first day whose hours are kept."""
@@ -532,6 +557,14 @@ class TelemetryTables:
         The facts are read once; daily state comes from the hourly state.
         """
         facts = self._fact_files(held_version)
+        dead = self._loads(held_version)[1]
+        with ThreadPoolExecutor(1) as pool:
+            devices = pool.submit(self._rebuild_devices, facts, version, dead)
+            days = self._rebuild_rollups(facts, version)
+            devices.result()
+        return days
+
+    def _rebuild_rollups(self, facts: DataFrame, version: int) -> list[date]:
         hourly = bucket_state(facts, hour_of(TIME), "hour").withColumn("day", day_of("hour"))
         self._write_state(HOURLY, hourly, version)
         written = storage.children(self.spark, f"{self.root}/{HOURLY}")
@@ -543,7 +576,6 @@ class TelemetryTables:
         ]
         fresh = self._state_days(HOURLY, [(day, version) for day in days])
         self._write_state(DAILY, daily_from_hourly(fresh), version)
-        self._rebuild_devices(facts, version, self._loads(held_version)[1])
         return days
 
     def _rebuild_devices(self, facts: DataFrame, version: int, dead: set[int]) -> None:
@@ -551,7 +583,8 @@ class TelemetryTables:
         table, active = self._device_table(), self._active_table()
         held = materialise(table.read(upto=version - 1, without=dead), "devices")
         table.replace(version, renumbered(device_state(facts), held), table.slots(), dead)
-        active.replace(version, self._active_of(facts, version, dead), active.slots(), dead)
+        if self.keeps_active:
+            active.replace(version, self._active_of(facts, version, dead), active.slots(), dead)
 
     def _write_state(self, table: str, state: DataFrame, version: int) -> None:
         (
@@ -607,11 +640,7 @@ class TelemetryTables:
         known = [("batch", source, n) for source, numbers in sorted(batches.items()) for n in sorted(numbers)]
         known += [("dead", "", n) for n in sorted(dead)]
         rows = [(table, day, v) for (table, day), v in sorted(entries.items())]
-        for folder, schema, data in (
-            ("sync_state", _SYNC, sync),
-            ("loads", _LOADS, dict(zip(_LOADS.names, zip(*known) if known else ((), (), ())))),
-            ("manifest", _MANIFEST, dict(zip(_MANIFEST.names, zip(*rows) if rows else ((), (), ())))),
-        ):
+        def write(folder: str, schema: T.StructType, data: dict) -> None:
             arrays = {
                 f.name: pa.array(data[f.name], _ARROW[f.dataType.simpleString()])
                 for f in schema.fields
@@ -621,6 +650,15 @@ class TelemetryTables:
                 f"{self.root}/{folder}/version={version}"
             )
 
+        def columns(schema: T.StructType, found: list[tuple]) -> dict:
+            return dict(zip(schema.names, zip(*found) if found else [()] * len(schema.names)))
+
+        with ThreadPoolExecutor(1) as pool:
+            syncing = pool.submit(write, "sync_state", _SYNC, sync)
+            write("loads", _LOADS, columns(_LOADS, known))
+            syncing.result()
+        write("manifest", _MANIFEST, columns(_MANIFEST, rows))
+
     # Keeping ------------------------------------------------------------
 
     def expire(self, keep: int = 30) -> list[int]:

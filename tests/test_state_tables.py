@@ -51,7 +51,7 @@ def sent(n: int, seed: int, devices: int = 7) -> list[dict]:
 
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
-    lake = TelemetryTables(spark, str(tmp_path_factory.mktemp("state") / "tables"))
+    lake = TelemetryTables(spark, str(tmp_path_factory.mktemp("state") / "tables"), active=True)
     for batch in (3, 1, 2):
         lake.load(feed(spark, *sent(150, batch, 5 + batch)), batch, AS_OF)
     return lake
@@ -105,7 +105,9 @@ def test_statistics_read_no_facts(loaded):
     assert rounded(rows_of(found)) == rounded(rows_of(expected)) and found.count() > 10
 
 
-def test_ranges_from_state_equal_the_facts(loaded):
+@pytest.mark.parametrize("active", [True, False])
+def test_ranges_from_state_equal_the_facts(spark, loaded, active):
+    loaded = TelemetryTables(spark, loaded.root, active)
     facts = loaded.facts().select(*MEASUREMENT_COLUMNS)
     for frm, to in ((FROM, TO), (datetime(2024, 1, 3), datetime(2024, 1, 5)), (datetime(2024, 1, 3, 4), datetime(2024, 1, 3, 4, 50)), (datetime(2030, 1, 1), datetime(2030, 1, 2))):
         assert rows_of(loaded.device_uptime(frm, to)) == rows_of(panels.device_uptime(facts, frm, to))
@@ -142,7 +144,7 @@ def test_bitmaps_of_many_blocks(spark):
 
 
 def test_retention_and_rebuild_keep_state_right(spark, tmp_path):
-    lake = TelemetryTables(spark, str(tmp_path / "tables"))
+    lake = TelemetryTables(spark, str(tmp_path / "tables"), active=True)
     early = [{"device": "90", "device_urn": "gone:90", "when_captured": "2024-01-01T01:00:00Z"}]
     lake.load(feed(spark, *sent(60, 1), *early), 1, AS_OF)
     numbers = {r["device_urn"]: r["number"] for r in lake.devices().collect()}
