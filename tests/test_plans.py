@@ -26,7 +26,7 @@ def plan(df) -> str:
 def plans(spark):
     lazy = [n for n in QUERIES if not n.startswith(("stream_", "sink_", "lake_"))]
     skip = {"ensure_tables", "scan_snapshot", "publish_snapshot", "sync_tables"}
-    skip |= {"expire_snapshots", "retention_partitions"}
+    skip |= {"expire_snapshots", "retention_partitions", "retention_hourly", "load_out_of_order"}
     return {n: plan(QUERIES[n](spark, SF)) for n in lazy if n not in skip}
 
 
