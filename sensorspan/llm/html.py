@@ -18,7 +18,9 @@ of a partial aggregation.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -97,11 +99,11 @@ class Block:
 
     text: str
     token: int  # the hash of its path and its text
-    removed: bool  # inside an element that is no article text
     article: int  # 0: outside, 1: by the name of an element, 2: in main, 3: in article
     holder: int  # the hash of the path of the element that says so
     linked: int  # characters inside links
     heading: bool
+    removed: bool  # inside an element that is no article text
     part: _Part | None
 
 
@@ -228,7 +230,7 @@ def parse(page: str | None) -> tuple[list[Block], list[int]]:
                 token.update(f"\n{text}".encode("utf-8", "surrogatepass"))
                 hashed = token.intdigest() - (1 << 63)
                 heading = place.tag in HEADINGS
-                blocks.append(Block(text, hashed, place.removed, place.article, place.holder, linked, heading, place.part))
+                blocks.append(Block(text, hashed, place.article, place.holder, linked, heading, place.removed, place.part))
             run.clear()
         linked = 0
 
@@ -429,7 +431,7 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         for batch in batches:
             out = []
             for blocks, template, common in zip(batch.column("blocks"), batch.column("template"), batch.column("common")):
-                kept = [Block(removed=False, part=None, **b) for b in blocks.as_py()]
+                kept = [Block(*b, removed=False, part=None) for b in json.loads(zlib.decompress(blocks.as_py()))]
                 out.append(article_text(kept, set(template.as_py() or ()), set(common.as_py() or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())],
@@ -442,7 +444,8 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 def page_blocks(pages: DataFrame) -> DataFrame:
     """Of pages (page_id, url, html), a row each: page_id, url and the blocks that may be article text.
 
-    Only these are moved to where the page's template tokens are, not the html.
+    Only these are moved to where the page's template tokens are, not the html; packed, since
+    texts of a page compress better together than rows do.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,21 +454,10 @@ def page_blocks(pages: DataFrame) -> DataFrame:
             for source in batch.column("html"):
                 kept = [b for b in parse(source.as_py())[0] if not b.removed]
                 named = [b for b in kept if b.article]
-                blocks.append([{f: getattr(b, f) for f in _BLOCK.names} for b in named or kept])
+                fields = [(b.text, b.token, b.article, b.holder, b.linked, b.heading) for b in named or kept]
+                blocks.append(zlib.compress(json.dumps(fields, ensure_ascii=False).encode()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(blocks, pa.list_(_BLOCK))], ["page_id", "url", "blocks"]
+                [batch.column("page_id"), batch.column("url"), pa.array(blocks, pa.binary())], ["page_id", "url", "blocks"]
             )
 
-    return pages.mapInArrow(
-        run,
-        "page_id long, url string,"
-        " blocks array<struct<text: string, token: long, article: int, holder: long, linked: int, heading: boolean>>",
-    )
-
-
-_BLOCK = pa.struct(
-    [
-        ("text", pa.string()), ("token", pa.int64()), ("article", pa.int32()), ("holder", pa.int64()), ("linked", pa.int32()),
-        ("heading", pa.bool_()),
-    ]
-)
+    return pages.mapInArrow(run, "page_id long, url string, blocks binary")
