@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 # Edits allowed for each character of an item.
 ERROR_RATE = 0.08
-# Items with fewer characters than this, normalised, are too common to be passages.
+# Items with fewer characters than this, normalised, are found only as they are, as whole words.
 LEAST_CHARS = 32
 # Characters of the items in one block, about.
 BLOCK_CHARS = 1_000_000
@@ -82,7 +82,7 @@ class Matcher:
         self.items: dict[str, list[int]] = {}
         for item_id, text in items:
             self.items.setdefault(text, []).append(item_id)
-        self.budget = {text: int(len(text) * rate) for text in self.items}
+        self.budget = {text: int(len(text) * rate) if len(text) >= LEAST_CHARS else 0 for text in self.items}
         self.masks = {text: positions(text) for text in self.items}
         self.backward = {text: positions(text[::-1]) for text in self.items}
         found: dict[str, list[tuple[str, int]]] = {}
@@ -100,34 +100,48 @@ class Matcher:
         found: dict[str, tuple[int, int, int]] = {}
         if not self.items:
             return found
+        windows: dict[str, list[tuple[int, int]]] = {}
         done: dict[str, int] = {}
         for last, (length, where) in self.automaton.iter(text):
             first = last + 1 - length
             for item, offset in where:
-                if found.get(item, (1,))[0] == 0:
-                    continue
                 start = first - offset
-                if start >= 0 and text.startswith(item, start):
-                    found[item] = (0, start, start + len(item))
-                    continue
-                if done.get(item) == start:
-                    continue  # the piece before it led to the same place
+                if item in found or done.get(item) == start:
+                    continue  # found as it is, or the piece before it led to the same place
                 done[item] = start
-                passage = self._verified(item, text, start)
-                if passage and (item not in found or passage < found[item]):
-                    found[item] = passage
+                if start >= 0 and text.startswith(item, start) and self._whole(item, text, start):
+                    found[item] = (0, start, start + len(item))
+                elif k := self.budget[item]:
+                    # Windows come in order of a character that each holds, so only the last ones can meet a new one.
+                    low, high = max(0, start - k), start + len(item) + k
+                    own = windows.setdefault(item, [])
+                    while own and own[-1][1] >= low:
+                        before = own.pop()
+                        low, high = min(low, before[0]), max(high, before[1])
+                    own.append((low, high))
+        for item, own in windows.items():
+            if item not in found:
+                passages = [p for low, high in own if (p := self._verified(item, text, low, high))]
+                if passages:
+                    found[item] = min(passages)
         return found
 
-    def _verified(self, item: str, text: str, start: int) -> tuple[int, int, int] | None:
+    @staticmethod
+    def _whole(item: str, text: str, start: int) -> bool:
+        """Whether a short item stands there as whole words."""
+        end = start + len(item)
+        return len(item) >= LEAST_CHARS or (start == 0 or text[start - 1] == " ") and text[end : end + 1] in ("", " ")
+
+    def _verified(self, item: str, text: str, low: int, high: int) -> tuple[int, int, int] | None:
+        """The nearest passage in a window, which may be as long as the text and is gone through once."""
         k = self.budget[item]
-        low = max(0, start - k)
-        window = text[low : start + len(item) + k]
+        window = text[low:high]
         scores = myers(self.masks[item], len(item), window)
         distance = min(scores, default=k + 1)
         if distance > k:
             return None
         end = scores.index(distance) + 1
-        back = myers(self.backward[item], len(item), window[:end][::-1], anchored=True)
+        back = myers(self.backward[item], len(item), window[max(0, end - len(item) - k) : end][::-1], anchored=True)
         return distance, low + end - (back.index(distance) + 1), low + end
 
 
@@ -137,8 +151,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RA
     Returns doc_id, item_id, distance (edits), budget (edits allowed), start, end
     (characters in the normalised text) and passage, one row for each row of ``docs`` and item found in
     it: the nearest passage, of equally near ones the first. Both sides are compared
-    as lower-case letters and digits with single spaces. Null, empty and
-    too short items match nothing, null and empty texts hold nothing. Equal
+    as lower-case letters and digits with single spaces. Items of fewer than ``LEAST_CHARS`` characters are
+    found only unedited, as whole words. Null items and those without letters and
+    digits match nothing, null and empty texts hold nothing. Equal
     items are found as often as they are listed, repeated documents as often as they are. No
     rows on a side give no rows. Other columns are ignored; texts are read whole.
     """
@@ -159,7 +174,7 @@ def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block) if blocks > 1 else items
         texts = [(r["item_id"], normalised(r["text"])) for r in own.select("item_id", "text").collect()]
-        yield [(i, t) for i, t in texts if len(t) >= LEAST_CHARS]
+        yield [(i, t) for i, t in texts if t]
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:

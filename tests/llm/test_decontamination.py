@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -121,3 +122,34 @@ def test_the_given_passages(spark):
     assert exact and exact <= got
     clean = {i for i, _ in got} - {i for i, _ in exact}
     assert not clean
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repetitive_texts_against_the_table(seed):
+    draw = random.Random(seed)
+    items = [(i, d.normalised("".join(draw.choices(["ab ", "ab ", "ba ", "abc "], k=draw.randint(14, 40))))) for i in range(6)]
+    items = [(i, t) for i, t in items if len(t) >= d.LEAST_CHARS]
+    matcher = d.Matcher(items)
+    for _ in range(10):
+        text = d.normalised("".join(draw.choices(["ab ", "ab ", "ba ", "abc ", "cab "], k=draw.randint(10, 120))))
+        found = matcher.best(text)
+        for _, each in items:
+            least = min(distances(each, text))
+            assert (each in found) == (least <= matcher.budget[each])
+            if each in found:
+                distance, start, end = found[each]
+                assert distance == least == distances(each, text[start:end])[-1]
+
+
+def test_a_repetitive_text_is_gone_through_once():
+    matcher = d.Matcher([(1, d.normalised("ab " * 250 + "xyz " * 40))])
+    start = time.process_time()
+    assert matcher.best(d.normalised("ab " * 1_000)) == {}
+    assert time.process_time() - start < 0.5
+
+
+def test_short_items_are_found_as_whole_words():
+    matcher = d.Matcher([(1, "the red fox"), (2, "fox")])
+    assert matcher.best("see the red fox run") == {"the red fox": (0, 4, 15), "fox": (0, 12, 15)}
+    assert matcher.best("the red foxes") == {} and matcher.best("the rad fox") == {"fox": (0, 8, 11)}
+    assert matcher.best("foxes and a fox") == {"fox": (0, 12, 15)}
