@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ranked, saved, words
+from .common import numbered, saved, words
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -93,16 +93,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     Returns doc_id, source, size (words), source_size, target (words wanted of its
     source), rate and copies (0 to ``most``). The copies of a source's documents
     together come to its target within about half the size of its largest document:
-    in order of size each document adds its rate's fraction, and every time
-    the sum passes a whole number and a half a document gets one more copy.
+    in order of size, id and a hash of the text each document adds its rate's fraction, and every
+    time the sum passes a whole number and a half a document gets one more copy.
 
     Null sources are one source, the last. Null and empty texts have size 0 and
-    add no words. Repeated rows are rows of their own; equal sizes are taken
-    in the order of the rows. No rows give no rows. Other columns are ignored.
-    The same table in the same files gives the same copies.
+    add no words. Repeated rows are rows of their own; which of them gets a copy more
+    is open. No rows give no rows. Other columns are ignored.
+    The same rows give the same copies, however they lie in files and partitions.
     """
     size = F.size(words(F.col("text"))).cast("long")
-    rows = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size")))
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = saved(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"), digest.alias("_digest"))
+    ).withColumn("_place", F.monotonically_increasing_id())  # cuts a hot group of equal rows
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     state = multipliers(rows, targets(totals, weights, most))
     rate = F.least(F.coalesce(F.exp("multiplier"), F.lit(0.0)), F.lit(float(most)))
@@ -111,7 +114,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     fraction = F.greatest(F.col("rate") - whole, F.lit(0.0))
     passed = F.floor((F.col("rank") + 1) * fraction + 0.5) - F.floor(F.col("rank") * fraction + 0.5)
     return (
-        ranked(rows, ["source"], ["size"])
+        numbered(rows, ["source"], ["size", "doc_id", "_digest", "_place"], "rank")
         .join(rates, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("copies", F.least(whole + passed, F.lit(most)).cast("long"))
         .select("doc_id", "source", "size", "source_size", "target", "rate", "copies")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from sensorspan.llm import mixing, sharding
 from sensorspan.llm.common import table
@@ -153,6 +154,14 @@ def test_mix_of_the_given_documents_is_stable(spark):
     assert sorted(got) == sorted(mixing.mix(docs).collect())
 
 
+def test_mix_does_not_depend_on_the_layout(spark, documents):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang", "source")
+    rows = docs.unionByName(documents([(5, "twice the same", "en", "b")] * 9 + [(None, "no id", None, None)] * 4).select(docs.columns))
+    once = sorted(map(str, mixing.mix(rows).collect()))
+    for other in (rows.repartition(7), rows.orderBy(F.rand(3)), rows.coalesce(1)):
+        assert sorted(map(str, mixing.mix(other).collect())) == once
+
+
 def test_mix_without_rows_or_words(documents):
     assert mixing.mix(documents([])).collect() == []
     assert [r["copies"] for r in mixing.mix(documents([(1, "", "en", "a"), (2, None, "en", None)])).collect()] == [0, 0]
