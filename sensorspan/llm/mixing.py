@@ -67,12 +67,14 @@ def multipliers(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     start = F.when((F.col("source_size") > 0) & (F.col("target") > 0), 0.0)
     state = saved(wanted.withColumn("multiplier", start))
     for _ in range(MAX_STEPS):
-        tilted = F.col("n") * F.col("size") * F.exp("multiplier")
+        # A source's documents share a multiplier, so whole numbers are summed: no order of the sum changes a digit.
+        tilted = F.sum(F.col("n") * F.col("size")) * F.exp("multiplier")
         own = state.select(F.col("source").alias("_source"), "multiplier")
         sums = (
             sizes.join(own, F.col("source").eqNullSafe(F.col("_source")))
-            .groupBy("_source")
-            .agg(F.sum(tilted).alias("_tokens"))
+            .groupBy("_source", "multiplier")
+            .agg(tilted.alias("_tokens"))
+            .drop("multiplier")
         )
         # Gradient: tokens - target; curvature: tokens.
         state = saved(
