@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+import shutil
 import uuid
 from datetime import datetime, timedelta
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorspan.operators import filters as flt
+from sensorspan.operators.filters import TIME
 from sensorspan.plans.ingest import ingest
 from sensorspan.schema import MEASUREMENT_COLUMNS
 from sensorspan.sinks import exports, layout
@@ -168,3 +170,21 @@ def test_backup_into_the_same_and_a_changed_schema(spark, tmp_path):
     assert rows_of(got) == sorted([(1, 7, None, day(2024, 1, 1), None), (None, None, 3, None, None), (None, None, None, day(1999, 12, 31), None)], key=repr)
     report = rows_of(backup.restore_report(spark, path, changed, renamed))
     assert report == sorted([("torn", "", 1), ("unfit", "number", 1), ("unfit", "t", 1), ("unfit", "d", 1), ("added", "new", 3), ("dropped", "gone", 2)], key=repr)
+
+
+def test_an_export_of_held_readings_writes_nothing(spark, tmp_path):
+    path = str(tmp_path / "export")
+    objects = [{"device": str(d), "device_urn": f"fixed:{d}", "when_captured": "2024-01-01T01:00:00Z"} for d in range(40)]
+    rows = ingest(feed(spark, *objects), START).select(*MEASUREMENT_COLUMNS)
+    exports.update_per_device(rows, path)
+    files = lambda: set(glob.glob(f"{path}/**/*.json", recursive=True))
+    before = files()
+    exports.update_per_device(rows.withColumn("bat_voltage", F.lit("9")), path)
+    assert files() == before
+    # A merge that died left a device's folder of the version that the next one writes.
+    left = next(iter(before)).rsplit("/", 3)[0]
+    os.makedirs(f"{left}/version=3/device_file=ghost")
+    shutil.copy(next(iter(before)), f"{left}/version=3/device_file=ghost/part.json")
+    exports.update_per_device(rows.withColumn(TIME, F.col(TIME) + F.expr("INTERVAL 1 HOUR")), path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("device_file", T.StringType())])
+    assert exports.held_per_device(spark, path, schema).count() == 80
