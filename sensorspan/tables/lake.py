@@ -11,12 +11,14 @@ Layout under one root folder::
     attempts/load=N/                load N was begun
     sync_state/version=N/           the watermark and the number of facts
     loads/version=N/                batches brought in, loads that died
-    manifest/version=N/             which version of which day is current
-
-A load appends its new facts, merges their state into that of the days they
-fall on, and then writes its manifest. Readers resolve the newest manifest, so
-they see a load wholly or not at all, and only touched days are ever
-rewritten. The table numbers its loads itself. Each batch is named by its
+    manifest/version=N/             which versions make up each day's state
+
+A load appends its new facts, writes the state of the days they fall on, and then
+its manifest. Readers resolve the newest manifest, so they see a load wholly or not
+at all, and only days with new facts are ever rewritten. A day's state may be in several
+versions, which readers add up. A load merges those that stand for no more loads than
+what it has merged so far, like the digits of a binary counter: a day that many loads
+touch is rewritten in proportion to the logarithm of their number, not to the number. The table numbers its loads itself. Each batch is named by its
 source and its number there, and a batch that was published is not brought in
 again, in whatever order they come. A load that dies leaves facts that no reader and no later load sees;
 its number is not used again.
@@ -66,8 +68,11 @@ _MANIFEST = T.StructType(
         T.StructField("table", T.StringType()),
         T.StructField("day", T.DateType()),
         T.StructField("version", T.LongType()),
+        T.StructField("loads", T.LongType()),  # that the version's state of the day was merged from
     ]
 )
+# The versions of a table's day, oldest first, with their loads.
+Parts = tuple[tuple[int, int], ...]
 _SYNC = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -261,11 +266,11 @@ class TelemetryTables:
         first = frm.date() if frm == datetime.combine(frm.date(), datetime.min.time()) else frm.date() + timedelta(days=1)
         last_day = to.date() - timedelta(days=1)
         held = {
-            day: version
-            for (table, day), version in self._manifest(self._resolve(None)).items()
+            day: parts
+            for (table, day), parts in self._manifest(self._resolve(None)).items()
             if table == DAILY and first <= day <= last_day
         }
-        whole = self._state_days(DAILY, list(held.items()))
+        whole = self._state_days(DAILY, [(day, v) for day, parts in held.items() for v, _ in parts])
         ends = time_filter(self.facts(), frm, to).filter(F.col("day").isin(sorted({frm.date(), to.date()} - set(held))))
         made = bucket_state(ends.drop("day"), day_of(TIME), "day")
         return whole.select("day", *ROLLUP_KEYS, *STATE).unionByName(made)
@@ -345,13 +350,16 @@ class TelemetryTables:
             storage.delete(self.spark, f"{self.root}/attempts/load={n}")
         return version, died
 
-    def _manifest(self, version: int | None) -> dict[tuple[str, date], int]:
-        """Current version of each table's days: a few entries per calendar day."""
+    def _manifest(self, version: int | None) -> dict[tuple[str, date], Parts]:
+        """Current versions of each table's days: a few entries per calendar day."""
         if version is None:
             return {}
         path = f"{self.root}/manifest/version={version}"
         rows = self.spark.read.schema(_MANIFEST).parquet(path).collect()
-        return {(r.table, r.day): r.version for r in rows}
+        found: dict[tuple[str, date], Parts] = {}
+        for r in sorted(rows, key=lambda r: r.version):
+            found[r.table, r.day] = (*found.get((r.table, r.day), ()), (r.version, r.loads or 1))
+        return found
 
     def _state(
         self,
@@ -363,12 +371,14 @@ class TelemetryTables:
         entries = self._manifest(self._resolve(version))
         first = since.date() if since else date.min
         final = until.date() if until else date.max
-        days = [
-            (day, v)
-            for (name, day), v in entries.items()
-            if name == table and first <= day <= final
-        ]
-        return self._state_days(table, days)
+        days = {day: parts for (name, day), parts in entries.items() if name == table and first <= day <= final}
+        whole = self._state_days(table, [(day, parts[0][0]) for day, parts in days.items() if len(parts) == 1])
+        several = [(day, v) for day, parts in days.items() if len(parts) > 1 for v, _ in parts]
+        if not several:
+            return whole
+        name = "hour" if table == HOURLY else "day"
+        merged = merge_state(self._state_days(table, several), F.col(name), name)
+        return whole.select(merged.columns).unionByName(merged)
 
     def _state_days(self, table: str, days: list[tuple[date, int]]) -> DataFrame:
         schema = _SCHEMAS[table]
@@ -444,29 +454,30 @@ class TelemetryTables:
             setting_aside = pool.submit(self._set_aside, feed, unfit, version)
             self._append(fit, days, version, held_version, position)
             own = self._files().filter(F.col("day").isin(days) & (F.col("load") == version))
-            merging = pool.submit(self._merge, own, days, version, held_version)
+            newest = F.max(F.when(F.col(TIME) <= moment(as_of), F.col(TIME))).alias("newest")
+            added = own.groupBy("day").agg(F.count(F.lit(1)).alias("new"), newest).collect()
+            # A day of which the feed only repeats held facts stays as it is.
+            own = own.filter(F.col("day").isin([r.day for r in added]))
+            merging = pool.submit(self._merge, own, sorted(r.day for r in added), version, held_version)
             self._merge_devices(own, version, dead_now)
-            merging.result()
+            fresh = merging.result()
             aside = setting_aside.result()
         set_aside = sum(aside.values())
 
-        added = own.agg(
-            F.count(F.lit(1)).alias("new"),
-            F.max(F.when(F.col(TIME) <= moment(as_of), F.col(TIME))).alias("newest"),
-        ).first()
+        new = sum(r.new for r in added)
         before = self.sync_state(held_version).first() if held_version is not None else None
         old_mark = before.last_sync_timestamp if before else datetime.fromisoformat(EPOCH)
-        new_mark = max(old_mark, added.newest or old_mark)
-        total = (before.total_rows if before else 0) + added.new
+        new_mark = max([old_mark, *(r.newest for r in added if r.newest)])
+        total = (before.total_rows if before else 0) + new
         loads = {**batches, source: batches.get(source, set()) | {batch}}, dead_now
-        self._publish(version, held_version, days, new_mark, total, loads)
+        self._publish(version, held_version, fresh, new_mark, total, loads)
         storage.delete(self.spark, staging)
         return {
             "version": version,
             "fetched": fetched.get["rows"],
             "valid": sum(per_day.values()) + set_aside - aside.get("torn", 0),
             "quarantined": set_aside,
-            "new": added.new,
+            "new": new,
             "total": total,
             "old_watermark": old_mark,
             "new_watermark": new_mark,
@@ -522,22 +533,32 @@ class TelemetryTables:
 
     def _merge(
         self, new: DataFrame, days: list[date], version: int, held_version: int | None
-    ) -> None:
-        """Merge the state of new facts into that of their days, as ``version``.
+    ) -> dict[tuple[str, date], Parts]:
+        """Merge the state of new facts into the smaller parts of that of their days, as ``version``.
 
-        Only the new facts and the held state of those days are read.
+        Only the new facts and those parts are read. Returns what makes up these days then.
         """
-        entries = self._manifest(held_version)
+        if not days:
+            return {}
+        entries, first = self._manifest(held_version), self._hours_from()
+        joined: dict[str, list[tuple[date, int]]] = {HOURLY: [], DAILY: []}
+        fresh: dict[tuple[str, date], Parts] = {}
+        for table, day in ((t, d) for t in joined for d in days if t == DAILY or d >= first):
+            parts, loads = entries.get((table, day), ()), 1
+            while parts and parts[-1][1] <= loads:
+                joined[table].append((day, parts[-1][0]))
+                loads += parts[-1][1]
+                parts = parts[:-1]
+            fresh[table, day] = (*parts, (version, loads))
 
         def held(table: str, columns: list[str]) -> DataFrame:
-            known = [(day, entries[table, day]) for day in days if (table, day) in entries]
-            return self._state_days(table, known).select(columns)
+            return self._state_days(table, joined[table]).select(columns)
 
         hours = bucket_state(new, hour_of(TIME), "hour").persist()
         both = hours.unionByName(held(HOURLY, hours.columns))
         merged = merge_state(both, F.col("hour"), "hour").withColumn("day", day_of("hour"))
         # Hours before the retained ones are not kept; of a late reading only its day is.
-        merged = merged.filter(F.col("day") >= F.lit(self._hours_from().isoformat()).cast("date"))
+        merged = merged.filter(F.col("day") >= F.lit(first.isoformat()).cast("date"))
         daily = daily_from_hourly(hours)
         both = daily.unionByName(held(DAILY, daily.columns))
         with ThreadPoolExecutor(1) as pool:
@@ -545,6 +566,7 @@ class TelemetryTables:
             self._write_state(DAILY, merge_state(both, F.col("day"), "day"), version)
             writing.result()
         hours.unpersist()
+        return fresh
 
     def _hours_from(self) -> date:
         """The first day whose hours are kept."""
@@ -609,28 +631,26 @@ class TelemetryTables:
         held, loads = self._unused(version)
         days = self.refresh(version, held)
         state = self.sync_state(held).first()
-        self._publish(version, held, days, state.last_sync_timestamp, state.total_rows, loads)
+        first = self._hours_from()
+        fresh = {(t, day): ((version, 1),) for t in (HOURLY, DAILY) for day in days if t == DAILY or day >= first}
+        self._publish(version, held, fresh, state.last_sync_timestamp, state.total_rows, loads)
 
     def _publish(
         self,
         version: int,
         previous: int | None,
-        days: list[date],
+        fresh: dict[tuple[str, date], Parts],
         mark: datetime,
         total: int,
         loads: tuple[dict[str, set[int]], set[int]],
     ) -> None:
         """Write the watermark, then the manifest that makes the version visible."""
-        entries = self._manifest(previous)
-        entries.update({(DAILY, day): version for day in days})
-        first = self._hours_from()
-        entries.update({(HOURLY, day): version for day in days if day >= first})
-        self._write_manifest(version, entries, mark, total, loads)
+        self._write_manifest(version, {**self._manifest(previous), **fresh}, mark, total, loads)
 
     def _write_manifest(
         self,
         version: int,
-        entries: dict[tuple[str, date], int],
+        entries: dict[tuple[str, date], Parts],
         mark: datetime,
         total: int,
         loads: tuple[dict[str, set[int]], set[int]],
@@ -639,7 +659,7 @@ class TelemetryTables:
         batches, dead = loads
         known = [("batch", source, n) for source, numbers in sorted(batches.items()) for n in sorted(numbers)]
         known += [("dead", "", n) for n in sorted(dead)]
-        rows = [(table, day, v) for (table, day), v in sorted(entries.items())]
+        rows = [(table, day, v, n) for (table, day), parts in sorted(entries.items()) for v, n in parts]
         def write(folder: str, schema: T.StructType, data: dict) -> None:
             arrays = {
                 f.name: pa.array(data[f.name], _ARROW[f.dataType.simpleString()])
@@ -665,13 +685,16 @@ class TelemetryTables:
         """Drop all but the newest versions, and rollup days only they used."""
         published = self.versions()
         kept, dropped = published[-keep:], published[:-keep]
-        used = {item for v in kept for item in self._manifest(v).items()}
-        stale = {item for v in dropped for item in self._manifest(v).items()} - used
+
+        def folders(versions: list[int]) -> set[tuple[str, date, int]]:
+            return {(*key, n) for v in versions for key, parts in self._manifest(v).items() for n, _ in parts}
+
+        stale = folders(dropped) - folders(kept)
         for version in dropped:
             storage.delete(self.spark, f"{self.root}/manifest/version={version}")
             storage.delete(self.spark, f"{self.root}/sync_state/version={version}")
             storage.delete(self.spark, f"{self.root}/loads/version={version}")
-        for (table, day), version in stale:
+        for table, day, version in stale:
             storage.delete(
                 self.spark, f"{self.root}/{table}/day={day.isoformat()}/version={version}"
             )

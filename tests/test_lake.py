@@ -208,3 +208,25 @@ def test_range_opens_only_its_days(spark, lake):
 def test_nothing_published(spark, root):
     with pytest.raises(ValueError, match="nothing is published"):
         TelemetryTables(spark, root).facts()
+
+
+def test_many_loads_of_a_day_do_not_rewrite_it_each_time(spark, lake, monkeypatch):
+    """Of a day that every load touches, a load reads what stands for no more loads than itself has merged."""
+    read = []
+    of = TelemetryTables._state_days
+    monkeypatch.setattr(TelemetryTables, "_state_days", lambda self, t, days: read.append((t, len(days))) or of(self, t, days))
+    for number in range(2, 6):
+        lake.load(feed(spark, at(5, 10 + number)), number, AS_OF)
+    assert sorted(n for t, n in read if t == "daily_summary") == [0, 0, 1, 2]
+    agrees_with_full_rebuild(lake)
+    assert rows_of(lake.daily(), "reading_count")[-1] == (6,)
+    monkeypatch.undo()
+    lake.expire(keep=1)
+    agrees_with_full_rebuild(lake)
+
+
+def test_held_readings_sent_again_rewrite_no_state(spark, lake):
+    report = lake.load(feed(spark, *FIRST), 2, AS_OF)
+    assert (report["new"], report["total"]) == (0, 4)
+    assert {parts for parts in lake._manifest(2).values()} == {((1, 1),)}
+    agrees_with_full_rebuild(lake)
