@@ -43,7 +43,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         shingles = [b" ".join(found)]
     else:
         shingles = list(map(b" ".join, zip(*(found[i:] for i in range(shingle)))))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of some hashes."""
     counts = np.zeros(BITS, np.int64)
     for start in range(0, len(hashes), 1 << 16):
         octets = hashes[start : start + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from sensorspan.llm import jaccard
+from sensorspan.llm import jaccard, simhash
 from sensorspan.llm.common import table
 
 from .conftest import SF
@@ -83,3 +83,16 @@ def test_odd_rows(documents):
         map(str, [(1, "A b c d", "fr"), (2, "else", None), (None, "no id one two", None), (None, "nor this, it seems", None)])
     )
     assert jaccard.keep_one(documents([])).collect() == []
+
+
+def test_close_fingerprints_are_candidates(spark):
+    """Operator 1's links, without a shared key: equal fingerprints and up to three bits; the empty set has none."""
+    fps = {1: 0, 2: 0b111, 3: 0b111111, 4: 0, 5: 0b1111 << 40, 6: -1, 7: -1 ^ (1 << 62)}
+    nodes = spark.createDataFrame([(i, 9, fp, []) for i, fp in fps.items()] + [(0, 0, 0, [])], "node long, n long, fp long, keys array<long>")
+    assert {r["node"]: r["root"] for r in jaccard.candidates(nodes).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 6: 6, 7: 6}
+
+
+def test_nodes_have_the_fingerprint_of_their_set():
+    found = jaccard.shingles("a b c d e f g")
+    bits = [sum(int(h) >> i & 1 for h in found) * 2 > len(found) for i in range(64)]
+    assert simhash.majority(found) == sum(1 << i for i, bit in enumerate(bits) if bit)
