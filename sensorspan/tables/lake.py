@@ -126,6 +126,10 @@ def _merge_active(held: DataFrame, changed: DataFrame) -> DataFrame:
     return merge_bitmaps(both, "slot", "hour")
 
 
+def _hours_of(facts: DataFrame) -> DataFrame:
+    return facts.select(hour_of(TIME).alias("hour"), "device_urn").distinct()
+
+
 class TelemetryTables:
     """Reads and maintains the tables under one root. One writer at a time.
 
@@ -207,12 +211,11 @@ class TelemetryTables:
         """Mean and deviation of each device's positive counts of all time; no fact is read."""
         return radiation_moments(self.devices(), "device_urn")
 
-    def _active_of(self, facts: DataFrame, version: int, dead: set[int]) -> DataFrame:
-        """Bitmaps of the devices of some facts, whose numbers the device table has as of ``version``."""
+    def _active_of(self, hours: DataFrame, version: int, dead: set[int]) -> DataFrame:
+        """Bitmaps of some hours' devices (hour, device_urn), whose numbers the device table has as of ``version``."""
         table = self._device_table()
         numbers = table.read(upto=version, without=dead).select(F.col("device_urn").alias("_device"), "number")
-        hours = facts.select(hour_of(TIME).alias("hour"), "device_urn").distinct()
-        known = hours.join(numbers, hours["device_urn"].eqNullSafe(numbers["_device"]))
+        known = hours.select("hour", "device_urn").join(numbers, hours["device_urn"].eqNullSafe(numbers["_device"]))
         return device_bitmaps(known, "hour").withColumn("slot", F.to_date("hour").cast("string"))
 
     def active(self, since: datetime, until: datetime) -> DataFrame:
@@ -244,7 +247,7 @@ class TelemetryTables:
             return self.range_state(frm, to).groupBy(*keys).agg(F.count_distinct("device_urn").alias("device_count"))
         ends = self._hour_ends(frm, to)
         version = self._resolve(None)
-        few = self._active_of(ends, version, self._loads(version)[1])
+        few = self._active_of(_hours_of(ends), version, self._loads(version)[1])
         state = self.active(frm, to).unionByName(few.select(*_ACTIVE.names))
         return count_bitmaps(state, name="device_count")
 
@@ -458,9 +461,11 @@ class TelemetryTables:
             added = own.groupBy("day").agg(F.count(F.lit(1)).alias("new"), newest).collect()
             # A day of which the feed only repeats held facts stays as it is.
             own = own.filter(F.col("day").isin([r.day for r in added]))
-            merging = pool.submit(self._merge, own, sorted(r.day for r in added), version, held_version)
-            self._merge_devices(own, version, dead_now)
+            hours = bucket_state(own, hour_of(TIME), "hour").persist()
+            merging = pool.submit(self._merge, hours, sorted(r.day for r in added), version, held_version)
+            self._merge_devices(own, hours, version, dead_now)
             fresh = merging.result()
+            hours.unpersist()
             aside = setting_aside.result()
         set_aside = sum(aside.values())
 
@@ -484,11 +489,11 @@ class TelemetryTables:
             "skipped": False,
         }
 
-    def _merge_devices(self, new: DataFrame, version: int, dead: set[int]) -> None:
-        """Bring what new facts add into the table of devices, and then into that of active ones."""
+    def _merge_devices(self, new: DataFrame, hours: DataFrame, version: int, dead: set[int]) -> None:
+        """Bring what new facts, and their hourly state, add into the table of devices, and then into that of active ones."""
         self._device_table().merge(version, device_slots(device_rows(new)), merge_devices, dead)
         if self.keeps_active:
-            self._active_table().merge(version, self._active_of(new, version, dead), _merge_active, dead)
+            self._active_table().merge(version, self._active_of(hours, version, dead), _merge_active, dead)
 
     def _set_aside(self, feed: DataFrame, unfit: DataFrame, version: int) -> dict[str, int]:
         """Keep what can't be a fact, with the reason; how many rows there are for each."""
@@ -532,11 +537,11 @@ class TelemetryTables:
         )
 
     def _merge(
-        self, new: DataFrame, days: list[date], version: int, held_version: int | None
+        self, hours: DataFrame, days: list[date], version: int, held_version: int | None
     ) -> dict[tuple[str, date], Parts]:
-        """Merge the state of new facts into the smaller parts of that of their days, as ``version``.
+        """Merge the hourly state of new facts into the smaller parts of that of their days, as ``version``.
 
-        Only the new facts and those parts are read. Returns what makes up these days then.
+        Only this and those parts are read. Returns what makes up these days then.
         """
         if not days:
             return {}
@@ -551,21 +556,20 @@ class TelemetryTables:
                 parts = parts[:-1]
             fresh[table, day] = (*parts, (version, loads))
 
-        def held(table: str, columns: list[str]) -> DataFrame:
-            return self._state_days(table, joined[table]).select(columns)
+        def whole(table: str, state: DataFrame, name: str) -> DataFrame:
+            held = self._state_days(table, joined[table])
+            if not joined[table]:  # the state has each key once
+                return state
+            return merge_state(state.unionByName(held.select(state.columns)), F.col(name), name)
 
-        hours = bucket_state(new, hour_of(TIME), "hour").persist()
-        both = hours.unionByName(held(HOURLY, hours.columns))
-        merged = merge_state(both, F.col("hour"), "hour").withColumn("day", day_of("hour"))
         # Hours before the retained ones are not kept; of a late reading only its day is.
-        merged = merged.filter(F.col("day") >= F.lit(first.isoformat()).cast("date"))
-        daily = daily_from_hourly(hours)
-        both = daily.unionByName(held(DAILY, daily.columns))
+        hourly = whole(HOURLY, hours, "hour").withColumn("day", day_of("hour"))
+        hourly = hourly.filter(F.col("day") >= F.lit(first.isoformat()).cast("date"))
+        daily = whole(DAILY, daily_from_hourly(hours), "day")
         with ThreadPoolExecutor(1) as pool:
-            writing = pool.submit(self._write_state, HOURLY, merged, version)
-            self._write_state(DAILY, merge_state(both, F.col("day"), "day"), version)
+            writing = pool.submit(self._write_state, HOURLY, hourly, version)
+            self._write_state(DAILY, daily, version)
             writing.result()
-        hours.unpersist()
         return fresh
 
     def _hours_from(self) -> date:
@@ -606,7 +610,7 @@ class TelemetryTables:
         held = materialise(table.read(upto=version - 1, without=dead), "devices")
         table.replace(version, renumbered(device_state(facts), held), table.slots(), dead)
         if self.keeps_active:
-            active.replace(version, self._active_of(facts, version, dead), active.slots(), dead)
+            active.replace(version, self._active_of(_hours_of(facts), version, dead), active.slots(), dead)
 
     def _write_state(self, table: str, state: DataFrame, version: int) -> None:
         (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorspan.operators.latest import latest_by_device
 from sensorspan.operators.rollups import daily_summary, hourly_summary
 from sensorspan.schema import MEASUREMENT_COLUMNS
+from sensorspan.tables import lake as lake_module
 from sensorspan.tables.lake import TelemetryTables
 
 from .feeds import feed, rows_of
@@ -230,3 +231,28 @@ def test_held_readings_sent_again_rewrite_no_state(spark, lake):
     assert (report["new"], report["total"]) == (0, 4)
     assert {parts for parts in lake._manifest(2).values()} == {((1, 1),)}
     agrees_with_full_rebuild(lake)
+
+
+def test_state_of_new_days_is_made_once_for_all_tables(spark, root, monkeypatch):
+    """Days without held state are not merged, and active devices come from the hourly state, not from the facts again."""
+    merged, found = [], []
+    of, merge = TelemetryTables._active_of, lake_module.merge_state
+    monkeypatch.setattr(lake_module, "merge_state", lambda state, bucket, name: merged.append(name) or merge(state, bucket, name))
+
+    def spied(self, *args):
+        made = of(self, *args)
+        found.append(made._jdf.queryExecution().optimizedPlan().toString())
+        return made
+
+    monkeypatch.setattr(TelemetryTables, "_active_of", spied)
+    lake = TelemetryTables(spark, root, active=True)
+    lake.load(feed(spark, *FIRST), 1, AS_OF)
+    assert merged == []
+    assert "InMemoryRelation" in found[0]
+    lake.load(feed(spark, *SECOND), 2, AS_OF)
+    assert sorted(merged) == ["day", "hour"]
+    monkeypatch.undo()
+    agrees_with_full_rebuild(lake)
+    frm, to = datetime(2024, 1, 3, 7, 10), datetime(2024, 1, 6, 8, 50)
+    hours = lake.facts().groupBy(F.date_trunc("hour", "when_captured").cast("timestamp_ntz").alias("time"))
+    assert rows_of(lake.hourly_active_devices(frm, to)) == rows_of(hours.agg(F.count_distinct("device_urn")))
