@@ -200,3 +200,19 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     stateful.stream_newest(stream(spark, folder), out, out + "-cp", NOW).awaitTermination()
     versions = [p for p in (tmp_path / "out").glob("slot=*/version=*")]
     assert sum(p.name == "version=1" for p in versions) == 1
+
+
+def test_state_lies_in_a_few_stores_for_each_core(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    land(folder, 0, [reading(START, device) for device in range(5)])
+    before = spark.conf.get(stateful.PARTITIONS)
+    spark.conf.set(stateful.PARTITIONS, "40")
+    try:
+        query = stateful.stream_newest(stream(spark, folder), out, out + "-cp", NOW)
+        query.awaitTermination()
+        assert spark.conf.get(stateful.PARTITIONS) == "40"
+    finally:
+        spark.conf.set(stateful.PARTITIONS, before)
+    cores = spark.sparkContext.defaultParallelism
+    assert progress(query)[-1]["numShufflePartitions"] == min(40, stateful.STORES_PER_CORE * cores) < 40
+    assert stateful.read_newest(spark, out).count() == 5
