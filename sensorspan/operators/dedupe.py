@@ -55,22 +55,30 @@ def without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     )
 
 
+# Up to so many rows, a hash of each key is broadcast: at most some 100 MB.
+FEW_ROWS = 2_000_000
+
+
 def unmatched(
     batch: DataFrame,
     held: DataFrame,
     keys: Sequence[str] = FACT_KEY,
-    candidates: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not held, for a batch smaller than the table.
 
     Only held keys that occur in the batch matter. They are picked out first:
     the batch's keys are the build side there, so while they are small enough
-    to be broadcast, the held rows are scanned but never shuffled.
-    ``candidates`` may name a cheaper relation with the batch's keys.
+    to be broadcast, the held rows are scanned but never shuffled. A batch of
+    no more than ``FEW_ROWS`` rows (``few``) always broadcasts a hash of its keys; the
+    few held keys that merely share one do no harm, whole keys are compared after that.
     """
-    wanted = (batch if candidates is None else candidates).select(*keys)
-    present = wanted.filter(all_present(keys)).distinct()
-    known = held.select(*keys).join(present, list(keys), "left_semi")
+    wanted = batch.select(*keys).filter(all_present(keys))
+    if few:
+        code = F.xxhash64(*keys).alias("_code")
+        known = held.select(*keys, code).join(F.broadcast(wanted.select(code)), "_code", "left_semi").drop("_code")
+    else:
+        known = held.select(*keys).join(wanted.distinct(), list(keys), "left_semi")
     return without(batch, known, keys)
 
 
@@ -91,9 +99,13 @@ def insert_or_ignore(
     held: DataFrame,
     order: Sequence[Column | str],
     keys: Sequence[str] = FACT_KEY,
+    few: bool = False,
 ) -> DataFrame:
-    """The rows to append: first of each key in the batch, unless it is held."""
-    return unmatched(first_per_key(batch, keys, order), held, keys, candidates=batch)
+    """The rows to append: first of each key in the batch, unless it is held.
+
+    Held keys go first, so that of a batch of repeats nothing is left to choose from.
+    """
+    return first_per_key(unmatched(batch, held, keys, few), keys, order)
 
 
 def upsert(

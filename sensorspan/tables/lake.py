@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from ..config import materialise
 from ..functions.timebuckets import EPOCH, day_of, epoch_days, hour_ceil, hour_floor, hour_of, moment
-from ..operators.dedupe import insert_or_ignore, split_keyed
+from ..operators.dedupe import FEW_ROWS, insert_or_ignore, split_keyed
 from ..operators.filters import TIME, last, time_filter
 from ..operators.devices import DEVICES, device_rows, device_slots, device_state, merge_devices, renumbered
 from ..operators.distinct import BITMAP, count_bitmaps, device_bitmaps, merge_bitmaps
@@ -118,6 +118,8 @@ _SCHEMAS = {
 }
 
 
+# Hourly state of a load's facts, as it is merged.
+_HOURS = T.StructType(_SCHEMAS[HOURLY].fields[:-2])
 _ACTIVE = T.StructType([T.StructField("hour", T.TimestampNTZType()), *BITMAP.fields])
 
 
@@ -447,7 +449,7 @@ class TelemetryTables:
         fetched = Observation("fetched")
         counted = feed.observe(fetched, F.count(F.lit(1)).alias("rows"))
         rows = typed(counted)
-        staging = f"{self.root}/staging/load={version}"
+        staging, staged_hours = f"{self.root}/staging/load={version}", f"{self.root}/staging-hours/load={version}"
         rows.withColumn("day", day_of(TIME)).write.mode("overwrite").parquet(staging)
         fit, unfit = split_keyed(self.spark.read.parquet(staging), as_of)
         per_day = {r.day: r["count"] for r in fit.groupBy("day").count().collect()}
@@ -455,17 +457,22 @@ class TelemetryTables:
         dead_now = dead | died
         with ThreadPoolExecutor(3) as pool:  # jobs that do not wait for each other
             setting_aside = pool.submit(self._set_aside, feed, unfit, version)
-            self._append(fit, days, version, held_version, position)
+            self._append(fit, per_day, version, held_version, position)
             own = self._files().filter(F.col("day").isin(days) & (F.col("load") == version))
             newest = F.max(F.when(F.col(TIME) <= moment(as_of), F.col(TIME))).alias("newest")
             added = own.groupBy("day").agg(F.count(F.lit(1)).alias("new"), newest).collect()
             # A day of which the feed only repeats held facts stays as it is.
-            own = own.filter(F.col("day").isin([r.day for r in added]))
-            hours = bucket_state(own, hour_of(TIME), "hour").persist()
-            merging = pool.submit(self._merge, hours, sorted(r.day for r in added), version, held_version)
-            self._merge_devices(own, hours, version, dead_now)
-            fresh = merging.result()
-            hours.unpersist()
+            fresh: dict[tuple[str, date], Parts] = {}
+            if added:
+                changed = sorted(r.day for r in added)
+                own = own.filter(F.col("day").isin(changed))
+                # Written before it is cached: a cached aggregate keeps all shuffle partitions, however few its rows.
+                bucket_state(own, hour_of(TIME), "hour").write.mode("overwrite").parquet(staged_hours)
+                hours = self.spark.read.schema(_HOURS).parquet(staged_hours).persist()
+                merging = pool.submit(self._merge, hours, changed, version, held_version)
+                self._merge_devices(own, hours, version, dead_now)
+                fresh = merging.result()
+                hours.unpersist()
             aside = setting_aside.result()
         set_aside = sum(aside.values())
 
@@ -477,6 +484,7 @@ class TelemetryTables:
         loads = {**batches, source: batches.get(source, set()) | {batch}}, dead_now
         self._publish(version, held_version, fresh, new_mark, total, loads)
         storage.delete(self.spark, staging)
+        storage.delete(self.spark, staged_hours)
         return {
             "version": version,
             "fetched": fetched.get["rows"],
@@ -519,14 +527,14 @@ class TelemetryTables:
         return sorted(r.day for r in rows.select("day").distinct().collect())
 
     def _append(
-        self, fit: DataFrame, days: list[date], version: int, held_version: int | None, position: str
+        self, fit: DataFrame, per_day: dict[date, int], version: int, held_version: int | None, position: str
     ) -> None:
         path = f"{self.root}/{FACTS}"
         if held_version is not None:
-            held = self._fact_files(held_version).filter(F.col("day").isin(days))
+            held = self._fact_files(held_version).filter(F.col("day").isin(sorted(per_day)))
         else:
             held = empty_relation(self.spark, _FACT_FILES)
-        new = insert_or_ignore(fit, held, [position])
+        new = insert_or_ignore(fit, held, [position], few=sum(per_day.values()) <= FEW_ROWS)
         (
             new.drop(position)
             .withColumn("load", F.lit(version).cast("bigint"))
@@ -543,8 +551,6 @@ class TelemetryTables:
 
         Only this and those parts are read. Returns what makes up these days then.
         """
-        if not days:
-            return {}
         entries, first = self._manifest(held_version), self._hours_from()
         joined: dict[str, list[tuple[date, int]]] = {HOURLY: [], DAILY: []}
         fresh: dict[tuple[str, date], Parts] = {}

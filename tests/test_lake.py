@@ -256,3 +256,41 @@ def test_state_of_new_days_is_made_once_for_all_tables(spark, root, monkeypatch)
     frm, to = datetime(2024, 1, 3, 7, 10), datetime(2024, 1, 6, 8, 50)
     hours = lake.facts().groupBy(F.date_trunc("hour", "when_captured").cast("timestamp_ntz").alias("time"))
     assert rows_of(lake.hourly_active_devices(frm, to)) == rows_of(hours.agg(F.count_distinct("device_urn")))
+
+
+def test_hourly_state_of_a_small_load_has_few_partitions(spark, root, monkeypatch):
+    """The merges of a load read as many partitions as its rows ask for, not as many as a shuffle may have."""
+    seen = []
+    of = TelemetryTables._merge
+    monkeypatch.setattr(TelemetryTables, "_merge", lambda self, hours, *rest: seen.append(hours.rdd.getNumPartitions()) or of(self, hours, *rest))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        lake = TelemetryTables(spark, root)
+        lake.load(feed(spark, *FIRST), 1, AS_OF)
+        lake.load(feed(spark, *SECOND), 2, AS_OF)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(seen) == 2 and max(seen) < 20
+    agrees_with_full_rebuild(lake)
+
+
+def test_a_small_load_does_not_shuffle_the_held_keys(spark, lake, monkeypatch):
+    plans = []
+    of = lake_module.insert_or_ignore
+
+    def spied(*args, **named):
+        rows = of(*args, **named)
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    monkeypatch.setattr(lake_module, "insert_or_ignore", spied)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = lake.load(feed(spark, *SECOND), 2, AS_OF)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert report["new"] == 3
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line for line in plans[0].splitlines())
+    agrees_with_full_rebuild(lake)
