@@ -216,3 +216,13 @@ def test_state_lies_in_a_few_stores_for_each_core(spark, tmp_path):
     cores = spark.sparkContext.defaultParallelism
     assert progress(query)[-1]["numShufflePartitions"] == min(40, stateful.STORES_PER_CORE * cores) < 40
     assert stateful.read_newest(spark, out).count() == 5
+
+
+def test_a_batch_leaves_a_file_for_each_day_not_for_each_store(spark, tmp_path):
+    sent = [reading(START + timedelta(days=n % 4, minutes=n), n) for n in range(80)]
+    land(tmp_path / "landing", 0, [*sent, *sent])
+    path = str(tmp_path / "bounded")
+    stateful.stream_dedupe(stream(spark, tmp_path / "landing"), path, str(tmp_path / "checkpoint"), NOW, timedelta(days=30)).awaitTermination()
+    assert stateful.facts(spark, path).count() == 80
+    folders = [p.parent for p in (tmp_path / "bounded" / "batches").rglob("*.parquet")]
+    assert len(set(folders)) == 4 and len(folders) == 4
