@@ -7,7 +7,7 @@ are calibrated by one temperature on labelled rows it was not trained on.
 
 Whether a text is in a learnt language at all is told apart from which one it is: by
 its surprise, how rare its n-grams are among all labelled rows of its language. The
-limit lies a third of the way from the median of labelled rows, each left out of the counts, to
+limit lies a third of the way from the median of all these rows, each left out of the counts, to
 what arbitrary n-grams give, so some wrong labels do not move it.
 
 Document frequencies count all rows to learn from. The weights are fitted on a
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn, remainder
+from .common import drawn, remainder, saved
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -41,6 +41,8 @@ TAIL = 0.01
 # How far from the median of its rows to arbitrary n-grams a text of a language may be. The rows of sf0.01 reach 0.14
 # of the way; the foreign texts that were tried start at 0.4.
 STRANGE = 1 / 3
+# By how many low bits of a number its cells are told apart, from wide cells to single numbers.
+CELLS = (48, 36, 24, 12, 0)
 UNKNOWN = "und"
 CHUNK = 1 << 20
 # Odd 32-bit multipliers, one for each place in an n-gram.
@@ -194,10 +196,13 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return frequency, documents
 
 
-def train(labelled: DataFrame) -> Model:
-    """Fit a model on rows (text, lang); null languages and texts without letters teach nothing."""
+def train(labelled: DataFrame, counted: tuple[np.ndarray, int] | None = None) -> Model:
+    """Fit a model on rows (text, lang); null languages and texts without letters teach nothing.
+
+    ``counted`` is what ``document_frequencies`` of these rows gives, if that is known.
+    """
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
-    frequency, documents = document_frequencies(rows.select("text"))
+    frequency, documents = counted or document_frequencies(rows.select("text"))
     idf = np.log((1.0 + documents) / (1.0 + frequency)) + 1.0
     placed = rows.withColumn("_row", F.monotonically_increasing_id())
     # One row for each language; the model below holds a column of weights for each in memory anyway.
@@ -278,13 +283,49 @@ class Familiar:
         share = (self.frequency[lang][index] - counted + 0.5) / (self.rows[lang] - counted + 1.0)
         return float(-(counts[index] @ np.log(share)) / counts[index].sum())
 
+    def documents(self) -> tuple[np.ndarray, int]:
+        """In how many rows of all languages each n-gram occurs, and how many rows there are."""
+        return sum(self.frequency.values(), np.zeros(BUCKETS, np.int64)), sum(self.rows.values())
+
     def strange(self, lang: str) -> float:
         """The surprise of a text whose n-grams fall into all buckets alike."""
         return float(-np.log((self.frequency[lang] + 0.5) / (self.rows[lang] + 1.0)).mean())
 
 
+def middles(found: DataFrame, rows: dict[str, int]) -> dict[str, float]:
+    """The median of the positive numbers of each language, of which ``found`` (lang, bits) has the bits and ``rows`` the count.
+
+    Positive doubles are in the order of their bits. The cells of the two middle numbers are cut into
+    narrower ones by counts, a few thousand for each language at a time; no numbers are gathered or sorted.
+    """
+    sought = {(lang, rank): (0, rank) for lang, n in rows.items() for rank in {(n - 1) // 2, n // 2}}  # cell, rank inside it
+    above = 63
+    for below in CELLS if sought else ():
+        wanted: dict[str, set[int]] = {}
+        for (lang, _), (cell, _) in sought.items():
+            wanted.setdefault(lang, set()).add(cell)
+        inside = F.lit(False)
+        for lang, cells in wanted.items():
+            inside = F.when(F.col("lang") == lang, F.shiftright("bits", above).isin(sorted(cells))).otherwise(inside)
+        counts = found.where(inside).groupBy("lang", F.shiftright("bits", below).alias("cell")).agg(F.count("*").alias("n")).toArrow()
+        sizes: dict[tuple[str, int], list[tuple[int, int]]] = {}
+        for lang, cell, n in sorted(zip(*(counts.column(c).to_pylist() for c in ("lang", "cell", "n")))):
+            sizes.setdefault((lang, cell >> (above - below)), []).append((cell, n))
+        for (lang, rank), (outer, left) in sought.items():
+            for cell, n in sizes[lang, outer]:
+                if left < n:
+                    break
+                left -= n
+            sought[lang, rank] = cell, left
+        above = below
+    ends: dict[str, list[float]] = {}
+    for (lang, _), (cell, _) in sought.items():
+        ends.setdefault(lang, []).append(float(np.int64(cell).view(np.float64)))
+    return {lang: sum(pair) / len(pair) for lang, pair in ends.items()}
+
+
 def familiar(labelled: DataFrame) -> Familiar:
-    """Counts over all rows (text, lang), and limits from about ``PER_LANGUAGE`` rows of each language."""
+    """Counts and limits from all rows (text, lang) with letters and a language."""
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,21 +345,19 @@ def familiar(labelled: DataFrame) -> Familiar:
     for lang, bucket, n in zip(*(totals.column(c).to_pylist() for c in ("lang", "bucket", "n"))):
         held.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))[bucket] = n
     known = Familiar({k: v[:-1] for k, v in held.items()}, {k: int(v[-1]) for k, v in held.items()}, {})
-    share = F.lit(0.0)
-    for lang, n in known.rows.items():
-        share = F.when(F.col("lang") == lang, PER_LANGUAGE / n).otherwise(share)
-    sample = rows.where(drawn(F.monotonically_increasing_id(), share))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counted = [(lang.as_py(), gram_counts(text.as_py())) for text, lang in zip(batch.column("text"), batch.column("lang"))]
-            said = [(lang, known.surprise(counts, lang, True)) for lang, counts in counted if counts is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())], ["lang", "surprise"])
-
-    by: dict[str, list[float]] = {}
-    for lang, surprise in sample.mapInArrow(measured, "lang string, surprise double").collect():
-        by.setdefault(lang, []).append(surprise)
-    middle = {lang: float(np.median(found)) for lang, found in by.items()}
+            langs: list[str] = []
+            said: list[float] = []
+            for text, lang in zip(batch.column("text"), batch.column("lang")):  # one text's counts at a time
+                if (counts := gram_counts(text.as_py())) is not None:
+                    langs.append(lang.as_py())
+                    said.append(known.surprise(counts, langs[-1], True))
+            bits = np.array(said, np.float64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(bits)], ["lang", "bits"])
+
+    middle = middles(saved(rows.mapInArrow(measured, "lang string, bits long")), known.rows)
     known.limit = {lang: m + (known.strange(lang) - m) * STRANGE for lang, m in middle.items()}
     return known
 
@@ -334,8 +373,8 @@ def keep_certain(docs: DataFrame, least: float = 0.0) -> DataFrame:
     and repeated rows stay as they are.
     """
     labelled = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    model = train(labelled)
     known = familiar(labelled)
+    model = train(labelled, known.documents())
     wanted = max(least, model.least)
 
     def certain(text: str | None, lang: str | None) -> bool:
@@ -345,7 +384,7 @@ def keep_certain(docs: DataFrame, least: float = 0.0) -> DataFrame:
         said, score = model.predict(text)
         if score < wanted:
             return False
-        return said not in known.limit or known.surprise(counts, said, said == lang) <= known.limit[said]
+        return known.surprise(counts, said, said == lang) <= known.limit[said]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

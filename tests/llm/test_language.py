@@ -69,6 +69,24 @@ def test_keep_certain_keeps_columns_and_clean_rows(documents):
     assert {500, 501}.isdisjoint(r["doc_id"] for r in kept.collect())
 
 
+def test_limits_come_from_all_rows(documents, monkeypatch):
+    """Also from those that a model is not fitted on, and from copies."""
+    monkeypatch.setattr(language, "PER_LANGUAGE", 10)
+    rows = corpus(301)
+    docs = documents([*rows, *rows[:40], (900, "!", "en", "s"), (901, None, "fr", "s"), (902, "maison", None, "s")])
+    known = language.familiar(docs)
+    by = {}
+    for _, text, lang, _ in [*rows, *rows[:40]]:
+        by.setdefault(lang, []).append(language.gram_counts(text))
+    for lang, own in by.items():
+        assert known.rows[lang] == len(own)
+        middle = float(np.median([known.surprise(counts, lang, True) for counts in own]))
+        assert known.limit[lang] == middle + (known.strange(lang) - middle) * language.STRANGE
+    assert known.limit.keys() == by.keys()
+    frequency, documents_ = language.document_frequencies(docs.where("lang is not null").select("text"))
+    assert documents_ == known.documents()[1] and (frequency == known.documents()[0]).all()
+
+
 def test_counts_do_not_depend_on_the_cut(monkeypatch):
     text = "Être ou ne pas être, 42 fois; that IS the question " * 50
     whole = language.gram_counts(text)
