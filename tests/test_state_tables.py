@@ -22,7 +22,7 @@ from sensorspan.sources import feeds
 from sensorspan.streaming.jobs import positioned
 from sensorspan.tables import storage
 from sensorspan.tables.lake import TelemetryTables
-from sensorspan.tables.slots import Slots
+from sensorspan.tables.slots import Parts, Slots
 
 from .feeds import PLAIN, feed, rows_of
 
@@ -262,3 +262,27 @@ def test_slots(spark, tmp_path):
     table.replace(4, frame((9, 4)), {"0", "1"})
     assert rows_of(table.read()) == [(2, 1), (9, 4)]
     assert len(storage.matches(spark, str(tmp_path / "slots/slot=0/version=*"))) <= 2
+
+
+def test_merges_rewrite_only_small_parts(spark, tmp_path):
+    """Newer rows replace older ones, null keys too, and rows in large parts are not written again."""
+    root = str(tmp_path / "parts")
+    frame = lambda *rows: spark.createDataFrame(rows, "k int, v int").withColumn("slot", F.lit("a"))
+    table = Parts(spark, root, frame((0, 0)).drop("slot").schema, ["k"])
+    assert table.read().count() == 0
+    held, sizes = {}, []
+    for version in range(1, 17):
+        rows = {100 + version: version, version % 3: version, None: version}
+        held.update(rows)
+        for _ in range(2 if version in (4, 7) else 1):  # again, as after a crash
+            table.merge(version, frame(*rows.items()))
+        assert rows_of(table.read()) == sorted(held.items(), key=repr)
+        sizes.append(spark.read.parquet(f"{root}/slot=a/version={version}").count())
+    assert sizes[-1] == len(held) and sum(sizes) < 16 * 5 * 2 and sizes[::2] == [3] * 8
+    assert len(storage.matches(spark, f"{root}/slot=a/version=*")) <= 6
+    table.merge(17, frame((500, 1)))
+    table.merge(18, frame((501, 1)), without={17})
+    assert rows_of(table.read(without={17}, slots={"a"})) == sorted({**held, 501: 1}.items(), key=repr)
+    storage.delete(spark, f"{root}/parts")  # as tables without parts were
+    table.merge(19, frame((0, 19)))
+    assert {r["k"]: r["v"] for r in table.read().collect()}[0] == 19

@@ -183,6 +183,20 @@ def test_newest_in_any_order(spark, tmp_path):
         assert rows_of(stateful.read_newest(spark, out)) == rows_of(latest_by_device(facts))
 
 
+def test_state_has_a_row_for_many_devices(spark, tmp_path):
+    """Python is called for each bucket of devices, not for each device; null columns are least, and repeats change nothing."""
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    objects = [reading(START, device) for device in range(2000)]
+    more = [reading(START + timedelta(hours=device % 2 - 1), device, lnd_7318u="77", loc_lat="x") for device in range(0, 2000, 7)]
+    land(folder, 0, objects)
+    land(folder, 1, [*more, *objects[:50], *objects[:50]])
+    query = stateful.stream_newest(stream(spark, folder), out, out + "-cp", NOW)
+    query.awaitTermination()
+    assert [s["numRowsTotal"] for s in progress(query)][-1] <= stateful.STATE_BUCKETS < 2000
+    facts = ingest(feed(spark, *objects, *more), NOW).select(*MEASUREMENT_COLUMNS)
+    assert rows_of(stateful.read_newest(spark, out)) == rows_of(latest_by_device(facts))
+
+
 def test_silent_devices_leave_the_state(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     for n in range(4):
