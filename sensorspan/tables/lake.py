@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import materialise
+from ..config import SHORT_METHODS, materialise, settings
 from ..functions.timebuckets import EPOCH, day_of, epoch_days, hour_ceil, hour_floor, hour_of, moment
 from ..operators.dedupe import FEW_ROWS, insert_or_ignore, split_keyed
 from ..operators.filters import TIME, last, time_filter
@@ -447,11 +447,15 @@ class TelemetryTables:
 
         version, died = self._begin(held_version)
         fetched = Observation("fetched")
-        counted = feed.observe(fetched, F.count(F.lit(1)).alias("rows"))
+        torn = F.count(CORRUPT) if CORRUPT in feed.columns else F.lit(0)
+        counted = feed.observe(fetched, F.count(F.lit(1)).alias("rows"), torn.alias("torn"))
         rows = typed(counted)
         staging, staged_hours = f"{self.root}/staging/load={version}", f"{self.root}/staging-hours/load={version}"
-        rows.withColumn("day", day_of(TIME)).write.mode("overwrite").parquet(staging)
+        with settings(feed.sparkSession, **SHORT_METHODS):
+            rows.withColumn("day", day_of(TIME)).write.mode("overwrite").parquet(staging)
         fit, unfit = split_keyed(self.spark.read.parquet(staging), as_of)
+        if CORRUPT in feed.columns and not fetched.get["torn"]:
+            feed = feed.drop(CORRUPT)  # no line of it has to be looked for
         per_day = {r.day: r["count"] for r in fit.groupBy("day").count().collect()}
         days = sorted(per_day)
         dead_now = dead | died

@@ -11,8 +11,9 @@ import pytest
 from sensorspan.operators.latest import latest_by_device
 from sensorspan.operators.rollups import daily_summary, hourly_summary
 from sensorspan.plans.ingest import ingest
-from sensorspan.schema import MEASUREMENT_COLUMNS
+from sensorspan.schema import CORRUPT, MEASUREMENT_COLUMNS
 from sensorspan.streaming import jobs
+from sensorspan.tables import lake as lake_module
 from sensorspan.tables.lake import TelemetryTables
 
 from .feeds import PLAIN, feed, rows_of
@@ -163,3 +164,29 @@ def test_the_older_file_wins(spark, tmp_path, root):
     TelemetryTables(spark, root).load(rows, 1, AS_OF)
     kept = TelemetryTables(spark, root).facts().where("hour(when_captured) = 10")
     assert rows_of(kept, "lnd_7318u") == [(1,)]
+
+
+def test_feeds_without_torn_lines_are_parsed_once_and_typed_in_short_methods(spark, tmp_path, root, monkeypatch):
+    """Only a feed with torn lines is read again for them; each load has its own limit of a method's size."""
+    folder, seen, limits = tmp_path / "landing", [], []
+    land(folder, 0, [at(1, 1)])
+    land(folder, 1, [at(2, 1)])
+    (folder / "torn.json").write_text('{"device": "5", "when_captu')
+    aside, changing = TelemetryTables._set_aside, lake_module.settings
+
+    def setting_aside(self, feed, unfit, version):
+        seen.append(CORRUPT in feed.columns)
+        return aside(self, feed, unfit, version)
+
+    def settings(session, **changed):
+        limits.append(changed)
+        return changing(session, **changed)
+
+    monkeypatch.setattr(TelemetryTables, "_set_aside", setting_aside)
+    monkeypatch.setattr(lake_module, "settings", settings)
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    lake = publish(spark, folder, tmp_path, root)
+    assert sorted(seen) == [False, False, True]
+    assert rows_of(lake.quarantine(), "reason", "line") == [("torn", '{"device": "5", "when_captu')]
+    assert limits == [{"spark.sql.codegen.hugeMethodLimit": "8000"}] * 3 and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+    assert lake.facts().count() == 2
