@@ -21,6 +21,7 @@ from sensorspan.schema import MEASUREMENT_COLUMNS
 from sensorspan.sinks import exports, layout
 from sensorspan.tables import backup
 from sensorspan.tables.bucketed import BucketedFacts
+from sensorspan.tables.slots import Slots
 
 from .feeds import feed, rows_of
 
@@ -188,3 +189,36 @@ def test_an_export_of_held_readings_writes_nothing(spark, tmp_path):
     exports.update_per_device(rows.withColumn(TIME, F.col(TIME) + F.expr("INTERVAL 1 HOUR")), path)
     schema = T.StructType([*rows.schema.fields, T.StructField("device_file", T.StringType())])
     assert exports.held_per_device(spark, path, schema).count() == 80
+
+
+def test_many_files_of_devices_are_listed_and_written_in_steps(spark, tmp_path, monkeypatch):
+    """No step opens more files than the limit; all steps of an export are seen together, and none of one that died."""
+    monkeypatch.setattr(exports, "FILES_AT_ONCE", 12)
+    path, opened, put = str(tmp_path / "export"), [], []
+    objects = [{"device": str(d), "device_urn": f"fixed:{d}", "when_captured": "2024-01-01T01:00:00Z"} for d in range(40)]
+    rows = ingest(feed(spark, *objects), START).select(*MEASUREMENT_COLUMNS)
+    later = rows.withColumn(TIME, F.col(TIME) + F.expr("INTERVAL 1 HOUR"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("device_file", T.StringType())])
+    listed, write = Slots._files, Slots._put
+
+    def files(self, chosen):
+        opened.append(sum(len(glob.glob(f"{path}/slot={slot}/version={v}/*")) for slot, v in chosen))
+        return listed(self, chosen)
+
+    def putting(self, version, changed, touched):
+        put.append(changed.select("device_file").distinct().count())
+        if len(put) == 6:
+            raise RuntimeError("died")
+        write(self, version, changed, touched)
+
+    monkeypatch.setattr(Slots, "_files", files)
+    monkeypatch.setattr(Slots, "_put", putting)
+    exports.update_per_device(rows, path)
+    with pytest.raises(RuntimeError):
+        exports.update_per_device(later, path)
+    assert rows_of(exports.held_per_device(spark, path, schema), *MEASUREMENT_COLUMNS) == rows_of(rows)
+    exports.update_per_device(later.limit(30).unionByName(rows), path)
+    exports.update_per_device(later, path)
+    exports.update_per_device(later, path)
+    assert rows_of(exports.held_per_device(spark, path, schema), *MEASUREMENT_COLUMNS) == rows_of(rows.unionByName(later))
+    assert max(opened) <= 12 and max(put) <= 12 and len(put) > 8
